@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folium.llm.lines import clean_pages, repeated_blocks, repeated_lines
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
 from folium.runtime import table
@@ -12,6 +13,21 @@ from folium.runtime import table
 NEAR = {"n": 3, "threshold": 0.6, "least_words": 30}
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_lines(table(spark, sf, "page_blocks"))
+
+
+def p2_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Repeated blocks of one to three successive lines, with the runs that hold them."""
+    return repeated_blocks(table(spark, sf, "page_blocks"))
+
+
+def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages without their repeated lines."""
+    pages = table(spark, sf, "page_blocks")
+    return clean_pages(pages, repeated_lines(pages))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(page_texts(table(spark, sf, "page_blocks")), **NEAR).select("row_id_a", "row_id_b")
 
@@ -20,5 +36,16 @@ def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(page_texts(table(spark, sf, "page_blocks")), **NEAR)
 
 
-QUERIES = {"p6_found": p6_found, "p6_groups": p6_groups}
-SQL: dict[str, str] = {}
+QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p6_found": p6_found, "p6_groups": p6_groups}
+_P2 = r"""
+WITH pages AS (SELECT row_id, run_id, source[1] AS c, blocks FROM page_blocks WHERE source[1] IS NOT NULL AND source[1] <> ''),
+b AS (SELECT row_id, run_id, c, unnest(blocks) AS b FROM pages),
+t AS (SELECT row_id, run_id, c, b.block_order AS block_order, string_split(coalesce(b.text, ''), chr(10)) AS parts FROM b),
+l AS (SELECT row_id, run_id, c, block_order, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS line_no FROM t),
+n AS (SELECT * EXCLUDE (line), trim(regexp_replace(regexp_replace(lower(line), '\p{Nd}', '', 'g'), '[^\p{L}]+', ' ', 'g')) AS k FROM l),
+w AS (SELECT * FROM n WHERE len(string_split(k, ' ')) >= 3),
+k AS (SELECT c, k, count(DISTINCT run_id) AS runs FROM w GROUP BY c, k),
+a AS (SELECT c, count(DISTINCT run_id) AS all_runs FROM pages GROUP BY c)
+SELECT row_id, block_order, line_no FROM w JOIN k USING (c, k) JOIN a USING (c) WHERE runs >= 5 AND runs >= 0.1 * all_runs
+"""
+SQL: dict[str, str] = {"p2_found": _P2}
