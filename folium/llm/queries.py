@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from folium.llm.lines import clean_pages, repeated_blocks, repeated_lines
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
-from folium.runtime import table
+from folium.llm.quality import page_statistics
+from folium.runtime import materialize, table
 
 #: Near-duplicate pages: three words a sequence, 0.6, pages of 30 words and more.
 NEAR = {"n": 3, "threshold": 0.6, "least_words": 30}
@@ -28,6 +29,20 @@ def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
     return clean_pages(pages, repeated_lines(pages))
 
 
+def repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The repeated lines of each collection, stored: coll, block."""
+    return materialize(repeated_blocks(table(spark, sf, "page_blocks")).where("depth = 1").select("coll", "block"), "repeated")
+
+
+def p5_stats(spark: SparkSession, sf: str) -> DataFrame:
+    return page_statistics(table(spark, sf, "page_blocks"), repeated(spark, sf))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of at least 120 characters of their own that are mainly no prose."""
+    return p5_stats(spark, sf).where("n_chars >= 120 AND page_class != 'prose'").select("row_id", "page_class")
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(page_texts(table(spark, sf, "page_blocks")), **NEAR).select("row_id_a", "row_id_b")
 
@@ -36,7 +51,7 @@ def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(page_texts(table(spark, sf, "page_blocks")), **NEAR)
 
 
-QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p6_found": p6_found, "p6_groups": p6_groups}
+QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups}
 _P2 = r"""
 WITH pages AS (SELECT row_id, run_id, source[1] AS c, blocks FROM page_blocks WHERE source[1] IS NOT NULL AND source[1] <> ''),
 b AS (SELECT row_id, run_id, c, unnest(blocks) AS b FROM pages),
