@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folium.llm.lines import clean_pages, repeated_blocks, repeated_lines
+from folium.llm.mixing import draw, in_training_order, reached_shares, source_plan
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
 from folium.llm.quality import page_statistics
+from folium.llm.tokenizer import count_tokens, encode_column
 from folium.runtime import materialize, table
 
 #: Near-duplicate pages: three words a sequence, 0.6, pages of 30 words and more.
@@ -51,7 +54,34 @@ def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_groups(page_texts(table(spark, sf, "page_blocks")), **NEAR)
 
 
-QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups}
+def p7_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return encode_column(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return count_tokens(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def _sized(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with their sizes in tokens, and the plan of the mix; both stored."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source")
+    sizes = count_tokens(docs.select(F.struct("doc_id", "source").alias("k"), "text"), "k", "text")
+    tokens = materialize(sizes.select("k.doc_id", "k.source", "n_tokens"), "tokens")
+    return tokens, source_plan(tokens, table(spark, sf, "mix_targets"))
+
+
+def p8_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """The mix in training order."""
+    return in_training_order(draw(*_sized(spark, sf)))
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """Target and reached share of each source."""
+    tokens, plan = _sized(spark, sf)
+    return reached_shares(draw(tokens, plan), plan)
+
+
+QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_token_counts": p7_token_counts, "p8_mix": p8_mix, "p8_shares": p8_shares}
 _P2 = r"""
 WITH pages AS (SELECT row_id, run_id, source[1] AS c, blocks FROM page_blocks WHERE source[1] IS NOT NULL AND source[1] <> ''),
 b AS (SELECT row_id, run_id, c, unnest(blocks) AS b FROM pages),
