@@ -32,11 +32,13 @@ from folium.llm.shingles import gram_sets
 from folium.runtime import materialize, small_side, stored_bytes
 
 #: Column blocks of the incidence matrix.
-BLOCKS = 6
+BLOCKS = 8
 #: Stored bytes of one block above which it is routed over several tasks.
 BLOCK_BYTES = 192 << 20
 #: Slots of the count sketch that orders columns for routing (one byte each).
 SKETCH_BITS = 22
+#: Postings of smaller rows that are paired at once.
+SLICE = 100_000
 #: Columns that a pair must share in the extended prefixes.
 EXTRA = 3
 
@@ -87,87 +89,143 @@ def _cut(n: int, least: int, blocks: int):
     return run
 
 
+def _met(left: np.ndarray, d: np.ndarray, m: np.ndarray, pos: np.ndarray, end: np.ndarray, most: np.ndarray, n: np.ndarray, a: int, b: int, extra: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs whose smaller rows have the given postings and that share enough columns of their prefixes."""
+    met, key, times, held = [], np.empty(0, np.uint64), np.empty(0, np.uint8), 0
+    step = np.int32(0)
+    while len(left):
+        step += np.int32(1)
+        left = left[left + step < end[left]]
+        right = left + step
+        ok = m[right] <= most[left]
+        left, right = left[ok], right[ok]
+        small, large = m[left], m[right]
+        ok = pos[right] <= large - (-(-a * (small + large) // (a + b))) + extra - 1
+        x = d[left[ok]]
+        if len(x):
+            met.append((x.astype(np.uint64) << np.uint64(32)) | d[right[ok]].astype(np.uint64))
+            held += len(x)
+            if held > 1_000_000 + len(key) // 2:
+                key, times = _add(key, times, met)
+                held = 0
+    key, times = _add(key, times, met)
+    x, y = (key >> np.uint64(32)).astype(np.uint32), key.astype(np.uint32)
+    ok = times >= np.minimum(extra, -(-a * (n[x] + n[y]) // (a + b)))
+    return x[ok].astype(np.int64), y[ok].astype(np.int64)
+
+
+def _add(key: np.ndarray, times: np.ndarray, met: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Add what was met to the counts per pair (which stop at 255)."""
+    fresh = np.concatenate(met) if met else np.empty(0, np.uint64)
+    met.clear()
+    fresh.sort()
+    if len(fresh):
+        head = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1])))
+        count = np.minimum(np.diff(np.append(head, len(fresh))), 255).astype(np.uint8)
+        fresh = fresh[head]
+        if not len(key):
+            return fresh, count
+        at = np.minimum(np.searchsorted(key, fresh), len(key) - 1)
+        old = key[at] == fresh
+        times[at[old]] = np.minimum(times[at[old]].astype(np.int16) + count[old], 255).astype(np.uint8)
+        if not old.all():
+            key, times = np.concatenate([key, fresh[~old]]), np.concatenate([times, count[~old]])
+            by = np.argsort(key, kind="stable")
+            key, times = key[by], times[by]
+    return key, times
+
+
 def _pairs(ids: np.ndarray, size: np.ndarray, grams: np.ndarray, t: Fraction, extra: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows whose sets within this block reach similarity t: two arrays of ids, the smaller id first."""
     ids, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-    keep = np.zeros(len(inverse), bool)
-    keep[first] = True
-    if not keep.all():  # copies met in other batches
+    if len(first) < len(inverse):  # copies met in other batches
+        keep = np.zeros(len(inverse), bool)
+        keep[first] = True
         grams, size, inverse = grams[np.repeat(keep, size)], size[keep], inverse[keep]
-    doc = np.repeat(inverse, size)
     n = np.zeros(len(ids), np.int64)
     n[inverse] = size
-    # columns renumbered by (count, hash): rarest first
-    _, col, count = np.unique(grams, return_inverse=True, return_counts=True)
+    by_size = np.argsort(n, kind="stable")  # rows renumbered: of two, the lower number is the smaller set
+    ids, n = ids[by_size], n[by_size]
+    inverse = np.argsort(by_size)[inverse]
+    del by_size
+    # columns renumbered by (count, hash), rarest first; those of one row alone only count for positions
+    order = np.argsort(grams).astype(np.uint32)
+    grams = grams[order]
+    doc = np.repeat(inverse.astype(np.uint32), size)[order]
+    del order
+    group = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])))
     del grams
-    rank = np.empty(len(count), np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
-    cells = np.sort((doc.astype(np.uint64) << np.uint64(32)) | rank[col].astype(np.uint64))
-    common = np.zeros(len(count), bool)
-    common[rank[count > 1]] = True
-    del doc, col
-    d, c = (cells >> np.uint64(32)).astype(np.int64), (cells & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.concatenate(([0], np.cumsum(n)))[:-1]
-    pos = np.arange(len(cells)) - start[d]
+    count = np.diff(group)
+    many = np.repeat(count > 1, count)
+    alone = np.bincount(doc[~many], minlength=len(ids))
+    doc = doc[many]
+    count = count[count > 1]
+    rank = np.empty(len(count), np.uint32)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.uint32)
+    cells = (doc.astype(np.uint64) << np.uint64(32)) | np.repeat(rank, count).astype(np.uint64)
+    del doc, many
+    cells.sort()
+    d = (cells >> np.uint64(32)).astype(np.uint32)
+    kept = n - alone
+    start = np.cumsum(kept) - kept
     a, b = t.numerator, t.denominator
     need = -(-a * n // b)
-    use = (pos < (n - need + extra)[d]) & common[c]
-    d, c, pos = d[use], c[use], pos[use]
-    order = np.argsort((c.astype(np.uint64) << np.uint64(32)) | n[d].astype(np.uint64), kind="stable")
-    d, c, pos = d[order], c[order], pos[order]
-    m = n[d]
-    end = np.searchsorted(c, c, side="right")
+    pos = np.arange(len(cells), dtype=np.int32)
+    pos -= (start - alone).astype(np.int32)[d]
+    use = pos < (n - need + extra).astype(np.int32)[d]
+    c = cells.astype(np.uint32)  # the low half
+    cell = (c[use].astype(np.uint64) << np.uint64(32)) | d[use].astype(np.uint64)
+    pos = pos[use]
+    del c, d, use
+    order = np.argsort(cell).astype(np.uint32)
+    cell, pos = cell[order], pos[order]
+    d = cell.astype(np.uint32)
+    c = (cell >> np.uint64(32)).astype(np.uint32)
+    m = n.astype(np.int32)[d]
+    group = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1], [True])))
+    end = np.repeat(group[1:], np.diff(group)).astype(np.int32)
+    del order, c, cell
     # as the smaller side of a pair, the largest partner that position and size allow
-    most = np.minimum(((m - pos + extra - 1) * (a + b)) // a - m, m * b // a)
-    left = np.flatnonzero(most >= m)
-    found, held = [], 0
-
-    def compact():
-        key = np.concatenate([x[0] for x in found]) if found else np.empty(0, np.uint64)
-        cnt = np.concatenate([x[1] for x in found]) if found else np.empty(0, np.int64)
-        u, inv = np.unique(key, return_inverse=True)
-        return [(u, np.bincount(inv, weights=cnt, minlength=len(u)).astype(np.int64))]
-
-    step = 1
-    while len(left):
-        left = left[left + step < end[left]]
-        right = left + step
-        ok = m[right] <= most[left]
-        left, right = left[ok], right[ok]
-        limit = m[right] - (-(-a * (m[left] + m[right]) // (a + b))) + extra - 1
-        ok = pos[right] <= limit
-        x, y = d[left[ok]], d[right[ok]]
-        if len(x):
-            found.append(((np.minimum(x, y).astype(np.uint64) << np.uint64(32)) | np.maximum(x, y).astype(np.uint64), np.ones(len(x), np.int64)))
-            held += len(x)
-            if held > 8_000_000:
-                found = compact()
-                held = len(found[0][0]) // 4
-        step += 1
-    key, cnt = compact()[0]
-    x, y = (key >> np.uint64(32)).astype(np.int64), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    most = np.minimum(((m.astype(np.int64) - pos + extra - 1) * (a + b)) // a - m, m.astype(np.int64) * b // a).astype(np.int32)
+    lead = np.flatnonzero((most >= m) & (np.arange(len(m)) + 1 < end)).astype(np.int32)
+    slices = 1 + len(lead) // SLICE
+    found = [_met(lead[d[lead] % np.uint32(slices) == k], d, m, pos, end, most, n, a, b, extra) for k in range(slices)]
+    x, y = (np.concatenate(v) for v in zip(*found))
     bound = -(-a * (n[x] + n[y]) // (a + b))
-    ok = cnt >= np.minimum(extra, bound)
-    x, y, bound = x[ok], y[ok], bound[ok]
     good = np.zeros(len(x), bool)
-    for lo in range(0, len(x), 100_000):  # whole overlap within the block
-        xs, ys = x[lo : lo + 100_000], y[lo : lo + 100_000]
-        pair = np.repeat(np.arange(len(xs)), n[xs])
-        at = np.arange(len(pair)) - np.repeat(np.cumsum(n[xs]) - n[xs], n[xs]) + np.repeat(start[xs], n[xs])
+    for lo in range(0, len(x), 20_000):  # whole overlap within the block
+        xs, ys = x[lo : lo + 20_000], y[lo : lo + 20_000]
+        k = kept[xs]
+        pair = np.repeat(np.arange(len(xs)), k)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(start[xs], k)
         want = (ys[pair].astype(np.uint64) << np.uint64(32)) | (cells[at] & np.uint64(0xFFFFFFFF))
         i = np.minimum(np.searchsorted(cells, want), len(cells) - 1)
-        good[lo : lo + 100_000] = np.bincount(pair[cells[i] == want], minlength=len(xs)) >= bound[lo : lo + 100_000]
+        if len(cells) == 0:
+            break
+        good[lo : lo + 20_000] = np.bincount(pair[cells[i] == want], minlength=len(xs)) >= bound[lo : lo + 20_000]
     return ids[x[good]], ids[y[good]]
 
 
+def _joined(pieces: list) -> list[np.ndarray]:
+    """Columns of the pieces, each freed as it is copied."""
+    columns = [list(c) for c in zip(*pieces)]
+    pieces.clear()
+    out = []
+    for c in columns:
+        out.append(np.concatenate(c))
+        c.clear()
+    return out
+
+
 def _multiply(t: Fraction, extra: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
         for b in batches:
-            for p, i, s, g in zip(*(c.to_pylist() for c in b.columns)):
+            for k in range(b.num_rows):
+                p, i, s, g = (c[k].as_py() for c in b.columns)
                 parts.setdefault(p, []).append((np.frombuffer(i, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), _unpack(g)))
         for p in list(parts):
-            x, y = _pairs(*(np.concatenate(v) for v in zip(*parts.pop(p))), t, extra)
+            x, y = _pairs(*_joined(parts.pop(p)), t, extra)
             yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
 
     return run
