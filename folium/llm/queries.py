@@ -10,6 +10,7 @@ from folium.llm.mixing import draw, in_training_order, reached_shares, source_pl
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
 from folium.llm.quality import page_statistics
+from folium.llm.subjects import composition, subject_areas
 from folium.llm.tokenizer import count_tokens, encode_column
 from folium.runtime import materialize, table
 
@@ -81,7 +82,21 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
     return reached_shares(draw(tokens, plan), plan)
 
 
-QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_token_counts": p7_token_counts, "p8_mix": p8_mix, "p8_shares": p8_shares}
+def p9_areas(spark: SparkSession, sf: str) -> DataFrame:
+    """Areas of each document with the share of its sentences."""
+    return subject_areas(table(spark, sf, "documents"), table(spark, sf, "subject_labels"), table(spark, sf, "subjects"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_areas(spark, sf).select("doc_id", "subject").distinct()
+
+
+def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """Make-up of the corpus by source and subject."""
+    return composition(p9_areas(spark, sf), table(spark, sf, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_token_counts": p7_token_counts, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_areas": p9_areas, "p9_composition": p9_composition}
 _P2 = r"""
 WITH pages AS (SELECT row_id, run_id, source[1] AS c, blocks FROM page_blocks WHERE source[1] IS NOT NULL AND source[1] <> ''),
 b AS (SELECT row_id, run_id, c, unnest(blocks) AS b FROM pages),
