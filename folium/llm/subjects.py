@@ -91,8 +91,9 @@ def mine_rules(documents: DataFrame, labels: DataFrame, subjects: DataFrame, lab
     parts = freq.select(F.filter("items", lambda x: ~x.startswith("=")).alias("a"), F.filter("items", lambda x: x.startswith("=")).alias("c"), "freq").where((F.size("a") > 0) & (F.size("a") <= WORDS))
     parts = parts.select(F.array_sort("a").alias("a"), "c", "freq")
     body = parts.where(F.size("c") == 0).select("a", F.col("freq").alias("all"))
-    rules = parts.where(F.size("c") == 1).join(body, "a").select("a", F.substring(F.col("c")[0], 2, 1000).alias("subject"), (F.col("freq") / F.col("all")).alias("confidence"), "freq")
-    top = rules.where(F.col("confidence") >= CONFIDENCE).orderBy(F.desc("freq"), "a", "subject").limit(RULES).collect()
+    rules = parts.where(F.size("c") == 1).join(body, "a").select("a", F.substring(F.col("c")[0], 2, 1000).alias("subject"), (F.col("freq") / F.col("all")).alias("confidence"), "freq", "all")
+    sure = F.col("confidence") - F.sqrt(F.col("confidence") * (1 - F.col("confidence")) / F.col("all"))  # one standard error below
+    top = rules.withColumn("confidence", sure).where(sure >= CONFIDENCE).orderBy(F.desc("freq"), "a", "subject").limit(RULES).collect()
     return names, prune([(tuple(r.a), r.subject, r.confidence, r.freq) for r in top]), sample
 
 
