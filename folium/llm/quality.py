@@ -38,13 +38,22 @@ STATS = (
 #: English function words (fixed values).
 COMMON = frozenset("a about after all also an and another any are as at be because been before behind but by could every for from had has have he her his if in into is it its near never nobody not of on one or said see she some soon than that the their them there these they this those though although to under was we were when where which who will with would you".split())
 
-_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+#: Bytes that part words in the statistics: all but ASCII letters, hyphen and apostrophe (other characters are left out).
+_APART = bytes(c if chr(c).isalpha() and c < 128 or chr(c) in "-'" else 32 for c in range(256))
+_COMMON = frozenset(w.encode() for w in COMMON)
 _SEPARATOR = re.compile(r"\t|\||;\s|\S {2,}\S.*?\S {2,}\S")
 _BULLET = re.compile(r"\s*(?:[•·*–—‣▪o-]\s|\(?\w{1,3}[.)]\s)|.*(?:…|\.{3,}|\s{2,})\s*\d+$")
 _END = (".", "!", "?", "”", ".’", ":", "»", ".'")
 NUMBER = re.compile(r"^[\W_]*(?:(?:page|p\.?|seite|s\.)\s*)?[\W_]*(\d{1,4}|[ivxlcdm]{1,9})[\W_]*(?:(?:/|of)\s*\d{1,4})?[\W_]*$", re.I)
 
 
+_NUMERIC = re.compile(r"\d\S*")  # from the first digit of a token to its end
+_LONG = re.compile(r"\S{21,}")
+_FOREIGN = re.compile(r"[^\x00-\x7f]")
+_DIGITS, _UPPER = b"0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LETTERS, _SPACES, _PLAIN = _UPPER + _UPPER.lower(), b" \t\n\r\x0b\x0c", b".,'-"
+
+
 def statistics(lines: list[str]) -> list[float]:
     """The statistics of STATS of a text's lines. An empty text gives zeros."""
     lines = [x for x in lines if x and not x.isspace()]
@@ -52,29 +61,38 @@ def statistics(lines: list[str]) -> list[float]:
     if not text:
         return [0.0] * len(STATS)
     n, k = len(text), len(lines)
-    tokens = text.split()
-    words = _WORD.findall(text.lower())
+    # characters of a class are counted by what is left without them
+    raw = text.encode("ascii", "ignore")
+    m = len(raw)
+    digits, upper, letters, spaces, plain = (m - len(raw.translate(None, c)) for c in (_DIGITS, _UPPER, _LETTERS, _SPACES, _PLAIN))
+    accents = 0
+    if m < n:
+        for c, times in Counter(_FOREIGN.findall(text)).items():
+            if c.isalpha():
+                letters, accents, upper = letters + times, accents + times, upper + times * c.isupper()
+            elif c.isdigit():
+                digits += times
+            elif c.isspace():
+                spaces += times
+            elif c in "“”":
+                plain += times
+    parts = [x.split() for x in lines]
+    tokens = max(1, sum(map(len, parts)))
+    words = raw.lower().translate(_APART).split()
     w = max(1, len(words))
-    # character counts at C speed: what each class leaves
-    letters = sum(map(str.isalpha, text))
-    digits = sum(map(str.isdigit, text))
-    spaces = n - sum(map(len, tokens))
-    ascii_n = len(text.encode("ascii", "ignore"))
-    accents = sum(c.isalpha() for c in text if c > "\x7f") if ascii_n < n else 0
-    plain = text.count(".") + text.count(",") + text.count("'") + text.count("-") + text.count("“") + text.count("”")
     count = Counter(words)
+    common = sum(count[q] for q in _COMMON.intersection(count))
     sentence = 0
-    for x in lines:
-        p = x.split()
-        if len(p) >= 5 and sum(q.lower() in COMMON for q in p) >= 0.2 * len(p):
+    for x, p in zip(lines, parts):
+        if len(p) >= 5 and sum(map(COMMON.__contains__, p)) + (p[0].lower() in COMMON) >= 0.2 * len(p):
             sentence += len(x)
+    cells = any(q in text for q in ("\t", "|", ";", "  "))
     return [
         n, k, len(words), sum(map(len, words)) / w, len(words) / k, (n - letters - digits - spaces - plain) / n, digits / n,
-        accents / max(1, letters), sum(map(str.isupper, text)) / max(1, letters), sum(x.rstrip().endswith(_END) for x in lines) / k,
-        sum(count[q] for q in COMMON if q in count) / w, len(count) / w, (max(v for q, v in count.items() if q not in COMMON) / w if count.keys() - COMMON else 0.0),
-        sum(bool(_SEPARATOR.search(x)) for x in lines) / k, sum(bool(_BULLET.match(x)) for x in lines) / k,
-        sum(any(map(str.isdigit, q)) for q in tokens) / max(1, len(tokens)), sum(len(q) > 20 for q in tokens) / max(1, len(tokens)),
-        sentence / n, sum(len(x.split()) <= 3 for x in lines) / k,
+        accents / max(1, letters), upper / max(1, letters), sum(x.rstrip().endswith(_END) for x in lines) / k,
+        common / w, len(count) / w, max((v for q, v in count.items() if v > 2 and q not in _COMMON), default=1) / w,
+        sum(_SEPARATOR.search(x) is not None for x in lines) / k if cells else 0.0, sum(_BULLET.match(x) is not None for x in lines) / k,
+        len(_NUMERIC.findall(text)) / tokens, len(_LONG.findall(text)) / tokens, sentence / n, sum(len(p) <= 3 for p in parts) / k,
     ]
 
 
