@@ -10,6 +10,7 @@ from folium.llm.mixing import draw, in_training_order, reached_shares, source_pl
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
 from folium.llm.quality import page_statistics
+from folium.llm.scans import page_noise, repaired_pages
 from folium.llm.subjects import composition, subject_areas
 from folium.llm.tokenizer import count_tokens, encode_column
 from folium.runtime import materialize, table
@@ -38,6 +39,20 @@ def repeated(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(repeated_blocks(table(spark, sf, "page_blocks")).where("depth = 1").select("coll", "block"), "repeated")
 
 
+def _noise(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return page_noise(table(spark, sf, "page_blocks"), table(spark, sf, "preview_blocks"), table(spark, sf, "bundle_runs"), repeated(spark, sf))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Running heads, page numbers, broken and misread words of scanned pages."""
+    return _noise(spark, sf)["noise"]
+
+
+def p3_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages repaired into continuous paragraphs."""
+    return repaired_pages(table(spark, sf, "page_blocks"), _noise(spark, sf))
+
+
 def p5_stats(spark: SparkSession, sf: str) -> DataFrame:
     return page_statistics(table(spark, sf, "page_blocks"), repeated(spark, sf))
 
@@ -96,7 +111,7 @@ def p9_composition(spark: SparkSession, sf: str) -> DataFrame:
     return composition(p9_areas(spark, sf), table(spark, sf, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_token_counts": p7_token_counts, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_areas": p9_areas, "p9_composition": p9_composition}
+QUERIES = {"p2_found": p2_found, "p2_blocks": p2_blocks, "p2_clean": p2_clean, "p3_found": p3_found, "p3_text": p3_text, "p5_found": p5_found, "p5_stats": p5_stats, "p6_found": p6_found, "p6_groups": p6_groups, "p7_ids": p7_ids, "p7_token_counts": p7_token_counts, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_areas": p9_areas, "p9_composition": p9_composition}
 _P2 = r"""
 WITH pages AS (SELECT row_id, run_id, source[1] AS c, blocks FROM page_blocks WHERE source[1] IS NOT NULL AND source[1] <> ''),
 b AS (SELECT row_id, run_id, c, unnest(blocks) AS b FROM pages),
