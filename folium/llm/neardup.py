@@ -136,7 +136,7 @@ def _add(key: np.ndarray, times: np.ndarray, met: list[np.ndarray]) -> tuple[np.
 
 
 def _pairs(ids: np.ndarray, size: np.ndarray, grams: np.ndarray, t: Fraction, extra: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows whose sets within this block reach similarity t: two arrays of ids, the smaller id first."""
+    """Pairs of rows whose sets within this block reach similarity t: two arrays of ids, that of the smaller set first."""
     ids, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
     if len(first) < len(inverse):  # copies met in other batches
         keep = np.zeros(len(inverse), bool)
@@ -226,7 +226,7 @@ def _multiply(t: Fraction, extra: int):
                 parts.setdefault(p, []).append((np.frombuffer(i, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), _unpack(g)))
         for p in list(parts):
             x, y = _pairs(*_joined(parts.pop(p)), t, extra)
-            yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return run
 
