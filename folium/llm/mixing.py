@@ -37,7 +37,7 @@ def source_plan(tokens: DataFrame, targets: DataFrame) -> DataFrame:
     p = p.withColumn("rest", F.when(F.col("available_tokens") > 0, F.col("budget") - F.col("passes") * F.col("available_tokens")).otherwise(0.0))
     length = F.when(F.col("documents") > 0, F.col("available_tokens") / F.col("documents")).otherwise(0.0)
     p = materialize(p.withColumn("length", length), "sources")
-    m = p.agg(F.sum(F.col("budget") * F.col("length")) / F.sum("budget"), F.sum("budget")).first()
+    m = p.agg(F.try_divide(F.sum(F.col("budget") * F.col("length")), F.sum("budget")), F.sum("budget")).first()
     mean, budget = m[0] or 0.0, m[1] or 0.0
     z = F.when(F.col("length") + F.lit(mean) > 0, (F.col("length") - F.lit(mean)) / (F.col("length") + F.lit(mean))).otherwise(0.0)
     p = p.withColumn("z", z)

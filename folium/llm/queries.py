@@ -36,7 +36,7 @@ def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def repeated(spark: SparkSession, sf: str) -> DataFrame:
     """The repeated lines of each collection, stored: coll, block."""
-    return materialize(repeated_blocks(table(spark, sf, "page_blocks")).where("depth = 1").select("coll", "block"), "repeated")
+    return materialize(repeated_blocks(table(spark, sf, "page_blocks"), deepest=1).select("coll", "block"), "repeated")
 
 
 def _noise(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

@@ -126,7 +126,8 @@ class Scorer:
             if len(b) == 2:
                 self.double[b[0]][b[1]] = v
         self.heads = self.single.keys() | {x for b in table for x in b}
-        self.scale, self.least = 1.0, 1.0
+        self.unit = float(np.log(max(2, len(names))) / np.log(10))  # what a sure rule weighs depends on the number of subjects
+        self.scale, self.least = 1.0, self.unit
 
     def evidence(self, sentence: str) -> np.ndarray | None:
         """Summed evidence per subject; None if no rule matches. A pair's rule stands for its words' own."""
@@ -157,13 +158,13 @@ class Scorer:
             return out
         e = np.stack(rows) * self.scale
         prior = np.zeros(e.shape[1])
-        for _ in range(3):
+        for _ in range(5):
             z = e + prior
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             prior = np.log((p.sum(axis=0) + 0.5) / (len(p) + 0.5 * p.shape[1]))
         top = p.argmax(axis=1)
-        sure = (e[np.arange(len(e)), top] >= self.least) & (p[np.arange(len(p)), top] >= 0.5)
+        sure = (e[np.arange(len(e)), top] >= self.least) & (p[np.arange(len(p)), top] >= 0.4)
         np.add.at(out, top[sure], 1)
         return out / len(parts)
 
@@ -171,7 +172,7 @@ class Scorer:
         """Choose scale and least evidence of a sentence so that the labels of single-subject documents are met best (share of documents whose areas are exactly the label)."""
         best = (-1.0, 1.0, 1.0)
         for scale in (0.7, 1.0, 1.5):
-            for least in (0.5, 0.8, 1.1, 1.4):
+            for least in (0.5 * self.unit, 0.8 * self.unit, 1.1 * self.unit, 1.4 * self.unit):
                 self.scale, self.least = scale, least
                 hit = 0.0
                 for text, subject in sample:
