@@ -43,11 +43,10 @@ def alpha_ratio(x) -> Column:
 def text_quality(x) -> Column:
     """0.5 letters' share + 0.3 share of tokens with a vowel + 0.2 min(tokens / 40, 1), within 0..1; 0 for a null or empty text."""
     t = F.coalesce(_c(x), F.lit(""))
-    words = F.filter(F.split(t, r"[^A-Za-z]+"), lambda w: w != "")
-    n = F.size(words)
-    voiced = F.size(F.filter(words, lambda w: w.rlike("[aeiouAEIOU]")))
+    n = F.regexp_count(t, F.lit("[A-Za-z]+"))
+    voiced = F.regexp_count(t, F.lit("[A-Za-z]*[AEIOUaeiou][A-Za-z]*"))  # a word with a vowel is one match
     visible = F.length(F.regexp_replace(t, r"\s+", ""))
-    alpha = F.when(visible > 0, F.length(F.regexp_replace(t, r"[^A-Za-z]", "")) / visible).otherwise(0.0)
+    alpha = F.when(visible > 0, F.length(F.regexp_replace(t, r"[^A-Za-z]+", "")) / visible).otherwise(0.0)
     score = 0.5 * alpha + 0.3 * F.when(n > 0, voiced / n).otherwise(0.0) + 0.2 * F.least(n / 40.0, F.lit(1.0))
     return F.when(n == 0, 0.0).otherwise(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
 
