@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -38,7 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not given:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        given = "file://" + tempfile.mkdtemp(prefix="folium-")
+        folder = tempfile.mkdtemp(prefix="folium-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        given = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", given)
         sc.setCheckpointDir(given)
     return given.rstrip("/")
@@ -70,7 +73,3 @@ def stored_bytes(df: DataFrame) -> int:
 def small_side(stored: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """A broadcast hint if the stored files are below the limit; otherwise the frame as it is, which Spark joins by a shuffle."""
     return F.broadcast(stored) if stored_bytes(stored) <= limit else stored
-
-
-def tmp_root() -> str:
-    return os.environ.get("TMPDIR", tempfile.gettempdir())
