@@ -49,8 +49,8 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages repaired into continuous paragraphs."""
-    return repaired_pages(table(spark, sf, "page_blocks"), _noise(spark, sf))
+    """Pages and preview blocks repaired into continuous paragraphs."""
+    return repaired_pages(table(spark, sf, "page_blocks"), _noise(spark, sf), table(spark, sf, "preview_blocks"))
 
 
 def p5_stats(spark: SparkSession, sf: str) -> DataFrame:

@@ -116,6 +116,21 @@ def test_noise(spark):
     assert text[900] == [] and not any("befo-" in p or "THE OLD" in p or "—" in p for ps in text.values() for p in ps)
 
 
+def noted(spark, noise=(), fixes=(), joins=()):
+    row = "table_name string, row_id long, block_order long, "
+    kinds = {"noise": (noise, "noise_kind string"), "fixes": (fixes, "s string, v string"), "joins": (joins, "a string, b string")}
+    return {k: spark.createDataFrame(list(x), row + c) for k, (x, c) in kinds.items()}
+
+
+def test_repaired_previews(spark):
+    """A preview block is repaired by its own notes, not by those of the page of the same row_id."""
+    pages = spark.createDataFrame([(1, "r", ["s"], 1, [("p", "The tlie mill.", 0, None)], None, None)], PAGES)
+    previews = spark.createDataFrame([(1, "r", "e", "paragraph", "The gar-\nden of tlie mill."), (2, "r", "e", "paragraph", "[5]"), (3, "r", "e", "paragraph", None)], PREVIEWS)
+    found = noted(spark, [("preview_blocks", 2, 0, "pageno"), ("page_blocks", 3, 0, "pageno")], [("preview_blocks", 1, 0, "tlie", "the")], [("preview_blocks", 1, 0, "gar", "den")])
+    got = {(r.table_name, r.row_id): r.paragraphs for r in repaired_pages(pages, found, previews).collect()}
+    assert got == {("page_blocks", 1): ["The tlie mill."], ("preview_blocks", 1): ["The garden of the mill."], ("preview_blocks", 2): [], ("preview_blocks", 3): []}
+
+
 def test_empty(spark):
     pages, previews, cases = spark.createDataFrame([], PAGES), spark.createDataFrame([], PREVIEWS), spark.createDataFrame([], CASES)
     assert page_noise(pages, previews, None, cases)["noise"].collect() == []
