@@ -118,7 +118,7 @@ def test_noise(spark):
 
 def noted(spark, noise=(), fixes=(), joins=()):
     row = "table_name string, row_id long, block_order long, "
-    kinds = {"noise": (noise, "noise_kind string"), "fixes": (fixes, "s string, v string"), "joins": (joins, "a string, b string")}
+    kinds = {"noise": (noise, "noise_kind string"), "fixes": (fixes, "s string, v string"), "joins": ([(*x, None, None, None) for x in joins], "a string, b string, to_row long, to_block long, rest string")}
     return {k: spark.createDataFrame(list(x), row + c) for k, (x, c) in kinds.items()}
 
 
@@ -131,6 +131,36 @@ def test_repaired_previews(spark):
     assert got == {("page_blocks", 1): ["The tlie mill."], ("preview_blocks", 1): ["The garden of the mill."], ("preview_blocks", 2): [], ("preview_blocks", 3): []}
 
 
+def test_repair_across_blocks():
+    """Only a block that begins with the rest is joined; a half without its rest stays."""
+    site = (2, "Share this page with your readers")
+    assert repair_text([(1, "Top of the hil-"), site], set(), {}, {1: {"hil": "lside"}}) == ["Top of the hil-", site[1]]
+    assert repair_text([(1, "Top of the hil-"), site, (3, "lside, at noon.")], set(), {}, {1: {"hil": "lside"}}) == ["Top of the hillside,", site[1], "at noon."]
+    assert repair_text([(1, "Top of the hil-\n" + site[1])], set(), {}, {}, {1: {"hil": "lside,"}}) == ["Top of the hillside, " + site[1]]
+    assert repair_text([(1, site[1] + "\nlside, at noon.")], set(), {}, {}, None, {1: {"lside"}}) == [site[1] + " at noon."]
+
+
+def test_repaired_across_pages(spark):
+    """The word is completed on its first page and its rest leaves every delivery of the later one."""
+    rows, _ = corpus(spark)
+    base = lambda n, page, *texts: (n, "r90", ["site"], page, [("p", x, i, None) for i, x in enumerate(texts, 1)], "c", "k")
+    body = "The quiet garden of the river was counted before another letter was opened in the modest harbour of the company."
+    rows += [base(801, 1, body + " The gar-", "Share this page with your readers and with all of the others, they said."), base(802, 2), base(803, 3, "den, he said. " + body), base(804, 3, "den, he said. " + body)]
+    rows += [base(805, 4, body + " The har-"), base(806, 5, "Nobody said it. " + body)]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = page_noise(pages, spark.createDataFrame([], PREVIEWS), None, spark.createDataFrame([], CASES))
+    got = {r.row_id: r.paragraphs for r in repaired_pages(pages, found).where("row_id > 800").collect()}
+    site = "Share this page with your readers and with all of the others, they said."
+    assert got[801] == [body + " The gar-", site]  # its next block was taken for the rest: not a word, so nothing is joined
+    assert got[805] == [body + " The har-"] and got[806] == ["Nobody said it. " + body]
+    plain = [r if r[0] != 801 else base(801, 1, body + " The gar-") for r in rows]
+    pages = spark.createDataFrame(plain, PAGES)
+    found = page_noise(pages, spark.createDataFrame([], PREVIEWS), None, spark.createDataFrame([], CASES))
+    got = {r.row_id: r.paragraphs for r in repaired_pages(pages, found).where("row_id > 800").collect()}
+    assert got[801] == [body + " The garden,"] and got[802] == []
+    assert got[803] == got[804] == ["he said. " + body]
+
+
 def test_empty(spark):
     pages, previews, cases = spark.createDataFrame([], PAGES), spark.createDataFrame([], PREVIEWS), spark.createDataFrame([], CASES)
     assert page_noise(pages, previews, None, cases)["noise"].collect() == []
