@@ -206,14 +206,18 @@ def iou(a: Column, b: Column) -> Column:
     return F.when(union > 0, w * h / union).otherwise(0.0)
 
 
+#: Letters (with their accents) and digits of any script, and blanks of any kind, as both Python and Java read them.
+_WORD, _BLANK = r"\p{L}\p{M}\p{N}_", r"\s\p{Z}\x{85}"
+
+
 def corruption_score(x) -> Column:
-    """Capped sum of signs of a broken scan: odd characters, words without vowels, mixed digits and letters (0..1)."""
+    """Capped sum of signs of a broken scan in a text of any language: odd characters, words without vowels, mixed digits and letters (0..1). Null counts as empty."""
     t = F.coalesce(_c(x), F.lit(""))
     n = F.greatest(F.length(t), F.lit(1))
-    words = F.greatest(F.regexp_count(t, F.lit(r"\S+")), F.lit(1))
-    odd = F.least(F.lit(0.5), F.regexp_count(t, F.lit(r"[^\w\s.,;:!?'\"()-]")) / n * 5)
-    mixed = F.least(F.lit(0.3), F.regexp_count(t, F.lit(r"[A-Za-z]+[0-9]+[A-Za-z]+")) / words * 3)
-    mute = F.least(F.lit(0.3), F.regexp_count(t, F.lit(r"\b[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{4,}\b")) / words * 3)
+    words = F.greatest(F.regexp_count(t, F.lit(rf"[^{_BLANK}]+")), F.lit(1))
+    odd = F.least(F.lit(0.5), F.regexp_count(t, F.lit(rf"[^{_WORD}{_BLANK}.,;:!?'\"()-]")) / n * 5)
+    mixed = F.least(F.lit(0.3), F.regexp_count(t, F.lit(r"[\p{L}\p{M}]+\p{Nd}+[\p{L}\p{M}]+")) / words * 3)
+    mute = F.least(F.lit(0.3), F.regexp_count(t, F.lit(rf"(?<![{_WORD}])[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{{4,}}(?![{_WORD}])")) / words * 3)
     return F.least(F.lit(1.0), odd + mixed + mute)
 
 

@@ -100,11 +100,17 @@ def q01_retention(spark, sf):
 @query(r"""SELECT doc_id, round(least(1.0::DOUBLE, least(0.5::DOUBLE, len(regexp_extract_all(t, '[^\w\s.,;:!?''"()-]')) / n * 5) + least(0.3::DOUBLE, len(regexp_extract_all(t, '[A-Za-z]+[0-9]+[A-Za-z]+')) / w * 3)
  + least(0.3::DOUBLE, len(regexp_extract_all(t, '\b[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{4,}\b')) / w * 3)), 6) AS score FROM (SELECT doc_id, t, greatest(length(t), 1) AS n, greatest(len(regexp_extract_all(t, '\S+')), 1) AS w FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7f“”]')))""")
 def a15_corruption(spark, sf):
-    """Signs of a broken scan in plain English documents (others need another alphabet's rules)."""
+    """Signs of a broken scan in plain English documents, where SQL can match the classes; a15_corruption_all has every document."""
     d = table(spark, sf, "documents").where("lang = 'en'").where(~F.col("text").rlike(r"[^\x00-\x7f“”]"))
     return d.select("doc_id", F.round(T.corruption_score("text"), 6).alias("score"))
 
 
+@query()
+def a15_corruption_all(spark, sf):
+    """Signs of a broken scan in every document, whatever its language and characters; a null text counts as empty."""
+    return table(spark, sf, "documents").select("doc_id", F.round(T.corruption_score("text"), 6).alias("score"))
+
+
 @query("""SELECT run_id, page, row_id FROM (SELECT run_id, page, row_id, CAST(coalesce(list_sum(list_transform(blocks, lambda b: length(b.text))), 0) AS BIGINT) AS chars FROM page_blocks) QUALIFY row_number() OVER (PARTITION BY run_id, page ORDER BY chars DESC, row_id) = 1""")
 def a19_best_delivery(spark, sf):
     """The delivery of each page that has most text."""
