@@ -161,6 +161,19 @@ def test_repaired_across_pages(spark):
     assert got[803] == got[804] == ["he said. " + body]
 
 
+def test_two_confusions_and_broken_misread(spark):
+    """A word with two separate confusions, and a broken word of which one half is misread."""
+    rows, _ = corpus(spark)
+    body = "The quiet garden of the river was counted before another letter was opened in the modest harbour of the company."
+    rows += [(900 + i, "r90", ["site"], 2 * i, [("p", f"{body} {x}", 1, None)], "c", "k") for i, x in enumerate(("They f0llowecl it.", "They remem-\nberecl it.", "They fol-\nlowed it.", "They yonder-\nless it."))]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = page_noise(pages, spark.createDataFrame([], PREVIEWS), None, spark.createDataFrame([], CASES))
+    kinds = {(r.row_id, r.noise_kind) for r in found["noise"].where("row_id >= 900").collect()}
+    assert kinds == {(900, "misread"), (901, "misread"), (901, "hyphen"), (902, "hyphen")}
+    text = {r.row_id: r.paragraphs for r in repaired_pages(pages, found).where("row_id >= 900").collect()}
+    assert text == {900: [f"{body} They followed it."], 901: [f"{body} They remembered it."], 902: [f"{body} They followed it."], 903: [f"{body} They yonder- less it."]}
+
+
 def test_empty(spark):
     pages, previews, cases = spark.createDataFrame([], PAGES), spark.createDataFrame([], PREVIEWS), spark.createDataFrame([], CASES)
     assert page_noise(pages, previews, None, cases)["noise"].collect() == []
