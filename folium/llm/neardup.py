@@ -1,21 +1,24 @@
 """Near-duplicate texts by a blocked sparse product of the text x n-gram incidence.
 
-The incidence matrix is cut into column blocks by the n-gram's hash.  Jaccard
-similarity is a mediant over the blocks: if |A n B| / |A u B| >= t, then at least
-one block has |A_k n B_k| / |A_k u B_k| >= t.  So each block can be multiplied by
-its transpose on its own, with overlap counts accumulated locally and pairs
-discarded by bounds that follow from the sizes, and no pair is lost.  Inside a
-block the columns are ordered by their exact count there, rarest first; a pair at
-or above t must share `extra` columns within the first n - need + extra of both
-rows, so only those postings are paired, only with partners of a feasible size,
-and the rest never meet.  Pairs that reach t in a block are verified on whole
-texts.
+The product of the incidence matrix with its transpose counts, for each pair of
+texts, the columns (n-grams) that they share.  Only what bounds on sizes leave is
+computed: with the columns in order of rarity (from count sketches of fixed size
+over all texts), two texts of similarity t share a column among the first
+n - ceil(t n) + 1 of either, so only these cells of the matrix are kept.  The
+matrix is cut into blocks of columns; a cell goes to one block and a text to the
+blocks of its cells, with its size and a parity bitmap of all its columns.  No
+text is sent as a whole, and the number of blocks follows the input, so a block
+stays small at any size.
+
+Within a block the cells of a column are paired, rows sorted by size.  A pair goes
+on only if sizes, places and bitmaps allow the overlap that t asks for: each column
+that one text has alone flips one bit, so the differing bits never exceed the
+differing columns.  All these bounds are exact, so no pair is lost; what is left is
+verified on whole texts.  Columns of very many texts are cut into chunks of rows
+whose pairs are separate pieces of work.
 
 Exact copies are one row of the matrix (named by the 64-bit hash of their text),
 so a group of copies costs one row however large it is.
-
-Blocks that would outgrow a task are routed further by their rarest columns
-(`route`), with rarity taken from a count sketch of fixed size over all texts.
 """
 
 from __future__ import annotations
@@ -28,21 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.llm.shingles import gram_sets
-from folium.runtime import materialize, small_side, stored_bytes
+from folium.llm.shingles import WORD_BITS, gram_sets, mix
+from folium.runtime import materialize, small_side
 
-#: Column blocks of the incidence matrix.
-BLOCKS = 8
-#: Stored bytes of one block above which it is routed over several tasks.
-BLOCK_BYTES = 192 << 20
-#: Slots of the count sketch that orders columns for routing (one byte each).
+#: Bytes of cells and texts that one column block is meant to get.
+BLOCK_BYTES = 48 << 20
+#: Slots of the count sketch that orders columns (one byte each).
 SKETCH_BITS = 22
-#: Postings of smaller rows that are paired at once.
-SLICE = 100_000
-#: Columns that a pair must share in the extended prefixes.
-EXTRA = 3
+#: Texts of a column beyond which it is cut into chunks.
+HOT = 8192
+#: Columns of a text for which a bitmap of 256 bits is used; twice as many get twice the bits, and so on.
+WIDTH = 192
 
-_SHARD = "part int, ids binary, sizes binary, grams binary"
+_SHARD = "part int, ids binary, sizes binary, counts binary, bits binary, cols binary, pos binary"
 
 
 def _pack(g: np.ndarray) -> bytes:
@@ -57,220 +58,216 @@ def _unpack(b: bytes) -> np.ndarray:
     return eight.reshape(-1).view("<u8")
 
 
-def _sets(batch: pa.RecordBatch, n: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _sets(batch: pa.RecordBatch, n: int, least: int, level: np.ndarray | None = None, tally: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, sizes, grams) of the batch's distinct texts with at least so many words."""
     ids = batch.column(0).to_numpy()
     ids, first = np.unique(ids, return_index=True)
     texts = batch.column(1).take(pa.array(first)).to_pylist()
-    g, off, words = gram_sets(texts, n)
+    g, off, words = gram_sets(texts, n, level=level, tally=tally)
     size = np.diff(off)
     ok = (words >= least) & (size > 0)
     return ids[ok], size[ok], g[np.repeat(ok, size)]
 
 
-def _cut(n: int, least: int, blocks: int):
+def _need(n: np.ndarray, t: Fraction) -> np.ndarray:
+    return -(-t.numerator * n // t.denominator)
+
+
+# ---------------------------------------------------------------- order of the columns
+
+
+def _sketch(n: int, least: int, t: Fraction):
+    """Counts of columns and of words per slot, in pieces (k, v); piece -1 holds the numbers of cells and words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, words, cells = np.zeros(1 << SKETCH_BITS, np.int64), np.zeros(1 << WORD_BITS, np.int64), 0
         for b in batches:
-            if b.num_rows == 0:
-                continue
-            ids, size, g = _sets(b, n, least)
-            doc = np.repeat(np.arange(len(ids)), size)
-            part = (g % np.uint64(blocks)).astype(np.int64)
-            out = ([], [], [], [])
-            for p in range(blocks):
-                m = part == p
-                count = np.bincount(doc[m], minlength=len(ids))
-                has = count > 0
-                if has.any():
-                    for x, v in zip(out, (p, ids[has].tobytes(), count[has].astype("<u4").tobytes(), _pack(g[m]))):
+            if b.num_rows:
+                _, size, g = _sets(b, n, least, tally=words)
+                grams += np.bincount((g >> np.uint64(48 - SKETCH_BITS)).astype(np.int64), minlength=len(grams))
+                cells += int((size - _need(size, t) + 1).sum())
+        rows = [*grams.reshape(-1, 1 << 14), *words.reshape(-1, 1 << 14), np.array([cells, words.sum()], np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array([*range(len(rows) - 1), -1], pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["k", "v"])
+
+    return run
+
+
+def _sum(key: tuple, t: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(v, np.int64) for v in t.column("v").to_pylist()], axis=0)
+    k = key[0].as_py()
+    out = total if k < 0 else np.minimum(255, np.round(4 * np.log2(total + 1))).astype(np.uint8)
+    return pa.table({"k": [k], "v": [out.tobytes()]}, schema=pa.schema([("k", pa.int32()), ("v", pa.binary())]))
+
+
+# ---------------------------------------------------------------- cells of the matrix
+
+
+def _bitmaps(codes: np.ndarray, doc: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bitmaps of whole rows as 64-bit words, and the number of words of each row."""
+    width = 4 << np.maximum(0, np.ceil(np.log2(np.maximum(size, 1) / WIDTH))).astype(np.int64)
+    at = np.cumsum(width) - width
+    out = np.zeros(int(width.sum()), np.uint64)
+    h = mix(codes)
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        new = np.full(len(size), -1)
+        new[rows] = np.arange(len(rows))
+        mine = new[doc] >= 0
+        bit = new[doc[mine]] * (64 * w) + (h[mine] & np.uint64(64 * w - 1)).astype(np.int64)
+        odd = (np.bincount(bit, minlength=len(rows) * 64 * w) & 1).astype(np.uint8)
+        out[at[rows][:, None] + np.arange(w)] = np.packbits(odd, bitorder="little").view("<u8").reshape(len(rows), w)
+    return out, width
+
+
+def _cells(n: int, least: int, t: Fraction, parts: int, words: int, levels, most: int):
+    """Each text's cells among its rarest columns, by block of columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = np.frombuffer(levels.value, np.uint8)
+        level, word_level = both[: 1 << SKETCH_BITS], both[1 << SKETCH_BITS :]
+        # a word that many columns belong to is spread over several blocks
+        spread = np.maximum(1, np.ceil(np.exp2(word_level / 4.0) * 4 * parts / max(1, words))).astype(np.uint64)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1 << 14):
+                b = whole.slice(lo, 1 << 14)
+                ids, size, code = _sets(b, n, least, level=word_level)
+                if not len(ids):
+                    continue
+                doc = np.repeat(np.arange(len(ids)), size)
+                start = np.cumsum(size) - size
+                bits, width = _bitmaps(code, doc, size)
+                lv = level[((code & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - SKETCH_BITS)).astype(np.int64)]
+                order = np.argsort((doc.astype(np.uint64) << np.uint64(48)) | (lv.astype(np.uint64) << np.uint64(40)) | (code & np.uint64((1 << 40) - 1)))
+                pos = np.arange(len(code)) - np.repeat(start, size)
+                use = (pos <= np.repeat(size - _need(size, t), size)) & (lv[order] > 4)  # at level 4 and below one text alone has it
+                at = order[use]
+                d, c, lv, pos = doc[at], code[at], lv[at], pos[use].astype(np.uint32)
+                times = np.exp2(lv / 4.0)
+                hot = np.flatnonzero(times > most)
+                if len(hot):
+                    cold = np.flatnonzero(times <= most)
+                    cut = [(d[cold], c[cold], c[cold], pos[cold])]
+                    for chunks in np.unique(np.ceil(times[hot] / most)).astype(np.int64):
+                        x = hot[np.ceil(times[hot] / most).astype(np.int64) == chunks]
+                        own = (mix(ids[d[x]].view(np.uint64) + np.uint64(7)) % np.uint64(chunks)).astype(np.int64)
+                        for other in range(chunks):
+                            i, j = np.minimum(own, other), np.maximum(own, other)
+                            side = np.where(own > other, np.uint32(1 << 31), np.uint32(0)) | np.where(own != other, np.uint32(1 << 30), np.uint32(0))
+                            cut.append((d[x], mix(c[x] + mix((i * chunks + j).astype(np.uint64) + np.uint64(1))) >> np.uint64(16), c[x], pos[x] | side))
+                    d, name, c, pos = (np.concatenate(v) for v in zip(*cut))
+                else:
+                    name = c
+                slot = c >> np.uint64(32)
+                part = (mix(slot + (mix(name) % spread[slot.astype(np.int64)] << np.uint64(20)) + np.uint64(3)) % np.uint64(parts)).astype(np.int64)
+                by = np.argsort((part.astype(np.uint64) << np.uint64(32)) | d.astype(np.uint64), kind="stable")
+                part, d, name, pos = part[by], d[by], name[by], pos[by]
+                head = np.flatnonzero(np.concatenate(([True], (part[1:] != part[:-1]) | (d[1:] != d[:-1]), [True]))) if len(d) else np.zeros(1, np.int64)
+                row, count = d[head[:-1]], np.diff(head)
+                row_part = part[head[:-1]]
+                edge, cell = np.searchsorted(row_part, np.arange(parts + 1)), np.searchsorted(part, np.arange(parts + 1))
+                first = np.cumsum(width) - width
+                out: tuple = ([], [], [], [], [], [], [])
+                for p in np.flatnonzero(np.diff(edge)):
+                    r = row[edge[p] : edge[p + 1]]
+                    w = width[r]
+                    words_at = np.arange(int(w.sum())) - np.repeat(np.cumsum(w) - w, w) + np.repeat(first[r], w)
+                    z = slice(cell[p], cell[p + 1])
+                    for x, v in zip(out, (int(p), ids[r].tobytes(), size[r].astype("<u4").tobytes(), count[edge[p] : edge[p + 1]].astype("<u4").tobytes(), bits[words_at].tobytes(), _pack(name[z]), pos[z].tobytes())):
                         x.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["part", "ids", "sizes", "grams"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["part", "ids", "sizes", "counts", "bits", "cols", "pos"])
 
     return run
 
 
-def _met(left: np.ndarray, d: np.ndarray, m: np.ndarray, pos: np.ndarray, end: np.ndarray, most: np.ndarray, n: np.ndarray, a: int, b: int, extra: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs whose smaller rows have the given postings and that share enough columns of their prefixes."""
-    met, key, times, held = [], np.empty(0, np.uint64), np.empty(0, np.uint8), 0
-    step = np.int32(0)
+# ---------------------------------------------------------------- product of a block
+
+
+def _folded(bits: np.ndarray, at: np.ndarray, width: np.ndarray, to: int) -> np.ndarray:
+    """The bitmaps of rows (words from `at` on), folded to `to` words each."""
+    out = np.zeros((len(at), to), np.uint64)
+    for w in np.unique(width):
+        rows = np.flatnonzero(width == w)
+        out[rows] = np.bitwise_xor.reduce(bits[at[rows][:, None] + np.arange(w)].reshape(len(rows), w // to, to), axis=1)
+    return out
+
+
+def _product(ids: np.ndarray, n: np.ndarray, count: np.ndarray, bits: np.ndarray, cols: np.ndarray, pos: np.ndarray, t: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block's rows that no bound rules out: two arrays of ids."""
+    width = 4 << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / WIDTH))).astype(np.int64)
+    at = np.cumsum(width) - width
+    by_size = np.argsort(n, kind="stable")  # of two rows, the lower number is the smaller set
+    number = np.empty(len(n), np.uint32)
+    number[by_size] = np.arange(len(n), dtype=np.uint32)
+    d = np.repeat(number, count)
+    ids, n, at, width = ids[by_size], n[by_size], at[by_size], width[by_size]
+    base = _folded(bits, at, width, 4)
+    order = np.argsort(cols).astype(np.uint32)
+    cols = cols[order]
+    group = np.flatnonzero(np.concatenate(([True], cols[1:] != cols[:-1], [True])))
+    size = np.diff(group)
+    many = np.repeat(size > 1, size)
+    column = np.repeat(np.arange(int((size > 1).sum()), dtype=np.uint64), size[size > 1])
+    order = order[many]
+    cell = (column << np.uint64(32)) | d[order].astype(np.uint64)
+    by = np.argsort(cell).astype(np.uint32)
+    cell, pos = cell[by], pos[order[by]]
+    del order, by, d, cols
+    d = cell.astype(np.uint32)
+    side, pos = pos >> np.uint32(30), (pos & np.uint32((1 << 30) - 1)).astype(np.int64)
+    group = np.flatnonzero(np.concatenate(([True], column[1:] != column[:-1], [True]))) if len(column) else np.zeros(1, np.int64)
+    end = np.repeat(group[1:], np.diff(group))
+    a, b = t.numerator, t.denominator
+    m = n[d]
+    # as the smaller side, the largest partner that place and size allow
+    most = np.minimum(((m - pos) * (a + b)) // a - m, m * b // a)
+    left = np.flatnonzero((most >= m) & (np.arange(len(m)) + 1 < end))
+    found, held, step = [], 0, 0
     while len(left):
-        step += np.int32(1)
+        step += 1
         left = left[left + step < end[left]]
         right = left + step
         ok = m[right] <= most[left]
         left, right = left[ok], right[ok]
-        small, large = m[left], m[right]
-        ok = pos[right] <= large - (-(-a * (small + large) // (a + b))) + extra - 1
-        x = d[left[ok]]
+        need = -(-a * (m[left] + m[right]) // (a + b))
+        ok = pos[right] <= m[right] - need
+        ok &= (d[left] != d[right]) & ((side[left] == 0) | (side[left] != side[right]))  # of two chunks, one row of each
+        x, y, need = d[left[ok]], d[right[ok]], need[ok]
         if len(x):
-            met.append((x.astype(np.uint64) << np.uint64(32)) | d[right[ok]].astype(np.uint64))
-            held += len(x)
-            if held > 1_000_000 + len(key) // 2:
-                key, times = _add(key, times, met)
+            apart = n[x] + n[y] - 2 * need
+            ok = np.bitwise_count(base[x] ^ base[y]).sum(axis=1, dtype=np.int64) <= apart
+            x, y, apart = x[ok], y[ok], apart[ok]
+            w = np.minimum(width[x], width[y])
+            for k in np.unique(w[w > 4]):  # long rows have longer bitmaps
+                z = np.flatnonzero(w == k)
+                far = np.bitwise_count(_folded(bits, at[x[z]], width[x[z]], int(k)) ^ _folded(bits, at[y[z]], width[y[z]], int(k))).sum(axis=1, dtype=np.int64) > apart[z]
+                w[z[far]] = -1
+            found.append((x[w > 0].astype(np.uint64) << np.uint64(32)) | y[w > 0].astype(np.uint64))
+            held += len(found[-1])
+            if held > 1 << 20:
+                found = [np.unique(np.concatenate(found))]
                 held = 0
-    key, times = _add(key, times, met)
-    x, y = (key >> np.uint64(32)).astype(np.uint32), key.astype(np.uint32)
-    ok = times >= np.minimum(extra, -(-a * (n[x] + n[y]) // (a + b)))
-    return x[ok].astype(np.int64), y[ok].astype(np.int64)
-
-
-def _add(key: np.ndarray, times: np.ndarray, met: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Add what was met to the counts per pair (which stop at 255)."""
-    fresh = np.concatenate(met) if met else np.empty(0, np.uint64)
-    met.clear()
-    fresh.sort()
-    if len(fresh):
-        head = np.flatnonzero(np.concatenate(([True], fresh[1:] != fresh[:-1])))
-        count = np.minimum(np.diff(np.append(head, len(fresh))), 255).astype(np.uint8)
-        fresh = fresh[head]
-        if not len(key):
-            return fresh, count
-        at = np.minimum(np.searchsorted(key, fresh), len(key) - 1)
-        old = key[at] == fresh
-        times[at[old]] = np.minimum(times[at[old]].astype(np.int16) + count[old], 255).astype(np.uint8)
-        if not old.all():
-            key, times = np.concatenate([key, fresh[~old]]), np.concatenate([times, count[~old]])
-            by = np.argsort(key, kind="stable")
-            key, times = key[by], times[by]
-    return key, times
-
-
-def _pairs(ids: np.ndarray, size: np.ndarray, grams: np.ndarray, t: Fraction, extra: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows whose sets within this block reach similarity t: two arrays of ids, that of the smaller set first."""
-    ids, first, inverse = np.unique(ids, return_index=True, return_inverse=True)
-    if len(first) < len(inverse):  # copies met in other batches
-        keep = np.zeros(len(inverse), bool)
-        keep[first] = True
-        grams, size, inverse = grams[np.repeat(keep, size)], size[keep], inverse[keep]
-    n = np.zeros(len(ids), np.int64)
-    n[inverse] = size
-    by_size = np.argsort(n, kind="stable")  # rows renumbered: of two, the lower number is the smaller set
-    ids, n = ids[by_size], n[by_size]
-    inverse = np.argsort(by_size)[inverse]
-    del by_size
-    # columns renumbered by (count, hash), rarest first; those of one row alone only count for positions
-    order = np.argsort(grams).astype(np.uint32)
-    grams = grams[order]
-    doc = np.repeat(inverse.astype(np.uint32), size)[order]
-    del order
-    group = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])))
-    del grams
-    count = np.diff(group)
-    many = np.repeat(count > 1, count)
-    alone = np.bincount(doc[~many], minlength=len(ids))
-    doc = doc[many]
-    count = count[count > 1]
-    rank = np.empty(len(count), np.uint32)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.uint32)
-    cells = (doc.astype(np.uint64) << np.uint64(32)) | np.repeat(rank, count).astype(np.uint64)
-    del doc, many
-    cells.sort()
-    d = (cells >> np.uint64(32)).astype(np.uint32)
-    kept = n - alone
-    start = np.cumsum(kept) - kept
-    a, b = t.numerator, t.denominator
-    need = -(-a * n // b)
-    pos = np.arange(len(cells), dtype=np.int32)
-    pos -= (start - alone).astype(np.int32)[d]
-    use = pos < (n - need + extra).astype(np.int32)[d]
-    c = cells.astype(np.uint32)  # the low half
-    cell = (c[use].astype(np.uint64) << np.uint64(32)) | d[use].astype(np.uint64)
-    pos = pos[use]
-    del c, d, use
-    order = np.argsort(cell).astype(np.uint32)
-    cell, pos = cell[order], pos[order]
-    d = cell.astype(np.uint32)
-    c = (cell >> np.uint64(32)).astype(np.uint32)
-    m = n.astype(np.int32)[d]
-    group = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1], [True])))
-    end = np.repeat(group[1:], np.diff(group)).astype(np.int32)
-    del order, c, cell
-    # as the smaller side of a pair, the largest partner that position and size allow
-    most = np.minimum(((m.astype(np.int64) - pos + extra - 1) * (a + b)) // a - m, m.astype(np.int64) * b // a).astype(np.int32)
-    lead = np.flatnonzero((most >= m) & (np.arange(len(m)) + 1 < end)).astype(np.int32)
-    slices = 1 + len(lead) // SLICE
-    found = [_met(lead[d[lead] % np.uint32(slices) == k], d, m, pos, end, most, n, a, b, extra) for k in range(slices)]
-    x, y = (np.concatenate(v) for v in zip(*found))
-    bound = -(-a * (n[x] + n[y]) // (a + b))
-    good = np.zeros(len(x), bool)
-    for lo in range(0, len(x), 20_000):  # whole overlap within the block
-        xs, ys = x[lo : lo + 20_000], y[lo : lo + 20_000]
-        k = kept[xs]
-        pair = np.repeat(np.arange(len(xs)), k)
-        at = np.arange(len(pair)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(start[xs], k)
-        want = (ys[pair].astype(np.uint64) << np.uint64(32)) | (cells[at] & np.uint64(0xFFFFFFFF))
-        i = np.minimum(np.searchsorted(cells, want), len(cells) - 1)
-        if len(cells) == 0:
-            break
-        good[lo : lo + 20_000] = np.bincount(pair[cells[i] == want], minlength=len(xs)) >= bound[lo : lo + 20_000]
-    return ids[x[good]], ids[y[good]]
-
-
-def _joined(pieces: list) -> list[np.ndarray]:
-    """Columns of the pieces, each freed as it is copied."""
-    columns = [list(c) for c in zip(*pieces)]
-    pieces.clear()
-    out = []
-    for c in columns:
-        out.append(np.concatenate(c))
-        c.clear()
-    return out
+    key = np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+    return ids[(key >> np.uint64(32)).astype(np.int64)], ids[(key & np.uint64(0xFFFFFFFF)).astype(np.int64)]
 
 
-def _multiply(t: Fraction, extra: int):
+def _multiply(t: Fraction):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
+        kinds = ("<i8", "<u4", "<u4", "<u8", None, "<u4")
         for b in batches:
             for k in range(b.num_rows):
-                p, i, s, g = (c[k].as_py() for c in b.columns)
-                parts.setdefault(p, []).append((np.frombuffer(i, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), _unpack(g)))
+                p, *rest = (c[k].as_py() for c in b.columns)
+                parts.setdefault(p, []).append([np.frombuffer(x, kind) if kind else _unpack(x) for x, kind in zip(rest, kinds)])
         for p in list(parts):
-            x, y = _pairs(*_joined(parts.pop(p)), t, extra)
+            ids, n, count, bits, cols, pos = (np.concatenate(x) for x in zip(*parts.pop(p)))
+            x, y = _product(ids, n.astype(np.int64), count.astype(np.int64), bits, cols, pos, t)
+            ok = x != y  # copies met in other batches
+            x, y = x[ok], y[ok]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return run
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << SKETCH_BITS, np.int64)
-    for b in batches:
-        for g in b.column(3).to_pylist():
-            total += np.bincount((_unpack(g) >> np.uint64(48 - SKETCH_BITS)).astype(np.int64), minlength=len(total))
-    rows = total.reshape(-1, 1 << 14)
-    yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["k", "v"])
-
-
-def _sum(key: tuple, t: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(v, np.int64) for v in t.column("v").to_pylist()], axis=0)
-    level = np.minimum(255, np.round(4 * np.log2(total + 1))).astype(np.uint8)
-    return pa.table({"k": [key[0].as_py()], "v": [level.tobytes()]}, schema=pa.schema([("k", pa.int32()), ("v", pa.binary())]))
-
-
-def _route(levels, blocks: int, ways: int, t: Fraction):
-    """Send each row of a block to the tasks of its rarest columns (the prefix that a partner must meet)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = np.frombuffer(levels.value, np.uint8)
-        for b in batches:
-            for p, i, s, g in zip(*(c.to_pylist() for c in b.columns)):
-                ids, n, g = np.frombuffer(i, "<i8"), np.frombuffer(s, "<u4").astype(np.int64), _unpack(g)
-                doc = np.repeat(np.arange(len(n)), n)
-                order = np.lexsort((g, level[(g >> np.uint64(48 - SKETCH_BITS)).astype(np.int64)], doc))
-                pos = np.arange(len(g)) - np.repeat(np.cumsum(n) - n, n)
-                need = -(-t.numerator * n // t.denominator)
-                head = order[pos <= (n - need)[doc]]
-                way = ((g[head] // np.uint64(blocks)) % np.uint64(ways)).astype(np.int64)
-                target = np.unique(way * len(n) + doc[head])
-                start = np.cumsum(n) - n
-                for w in np.unique(target // len(n)):
-                    rows = target[target // len(n) == w] % len(n)
-                    at = np.arange(n[rows].sum()) - np.repeat(np.cumsum(n[rows]) - n[rows], n[rows]) + np.repeat(start[rows], n[rows])
-                    cols = [pa.array([int(p + blocks * w)], pa.int32()), *(pa.array([x], pa.binary()) for x in (ids[rows].tobytes(), n[rows].astype("<u4").tobytes(), _pack(g[at])))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["part", "ids", "sizes", "grams"])
-
-    return run
-
-
 def _gram_rows(n: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -298,23 +295,26 @@ def _verify(t: Fraction):
     return run
 
 
-def similar_texts(texts: DataFrame, n: int = 5, threshold: float = 0.8, least_words: int = 1, blocks: int = BLOCKS, block_bytes: int = BLOCK_BYTES, extra: int = EXTRA) -> DataFrame:
+def similar_texts(texts: DataFrame, n: int = 5, threshold: float = 0.8, least_words: int = 1, block_bytes: int = BLOCK_BYTES, hot: int = HOT) -> DataFrame:
     """Pairs of different texts at or above the threshold: a < b (64-bit text hashes) and similarity.
 
-    texts: columns id (hash of the text) and text; rows with the same id are
-    copies and count once.  Null texts and texts of fewer words take no part; an
-    empty input gives no pairs.  Whole texts are read, of any length.
+    texts: columns id (hash of the text) and text, stored (they are read three
+    times); rows with the same id are copies and count once.  Null texts and texts
+    of fewer words take no part; an empty input gives no pairs.  Whole texts are
+    read, of any length.
     """
     t = Fraction(threshold).limit_denominator(1000)
+    spark = texts.sparkSession
     texts = texts.select("id", "text").where(F.length("text") >= 2 * least_words - 1)
-    shards = texts.mapInArrow(_cut(n, least_words, blocks), _SHARD)
-    stored = materialize(shards, "shards")
-    ways = max(1, -(-stored_bytes(stored) // (blocks * block_bytes)))
-    if ways > 1:
-        sums = stored.mapInArrow(_sketch, "k int, v binary").groupBy("k").applyInArrow(_sum, "k int, v binary")
-        levels = b"".join(r.v for r in sorted(sums.collect(), key=lambda r: r.k))  # 2 ** SKETCH_BITS bytes, whatever the input
-        stored = stored.mapInArrow(_route(stored.sparkSession.sparkContext.broadcast(levels), blocks, ways, t), _SHARD)
-    pairs = stored.repartitionById(blocks * ways, F.col("part")).mapInArrow(_multiply(t, extra), "a long, b long")
+    sums = texts.mapInArrow(_sketch(n, least_words, t), "k int, v binary").groupBy("k").applyInArrow(_sum, "k int, v binary")
+    sums = {r.k: bytes(r.v) for r in sums.collect()}  # a little over 2 ** SKETCH_BITS bytes, whatever the input
+    if not sums:
+        return spark.createDataFrame([], "a long, b long, similarity double")
+    cells, words = (int(x) for x in np.frombuffer(sums.pop(-1), np.int64))
+    levels = spark.sparkContext.broadcast(b"".join(sums[k] for k in sorted(sums)))
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-cells * 30 // block_bytes))
+    shards = texts.mapInArrow(_cells(n, least_words, t, parts, words, levels, hot), _SHARD)
+    pairs = shards.repartitionById(parts, F.col("part")).mapInArrow(_multiply(t), "a long, b long")
     pairs = materialize(pairs.distinct(), "pairs")
     ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     grams = texts.join(small_side(ids), "id", "left_semi").mapInArrow(_gram_rows(n, least_words), "id long, g binary")
@@ -327,7 +327,7 @@ def similar_texts(texts: DataFrame, n: int = 5, threshold: float = 0.8, least_wo
 def near_duplicates(pages: DataFrame, row_id: str = "row_id", text: str = "text", n: int = 5, threshold: float = 0.8, least_words: int = 1, **how) -> DataFrame:
     """Pairs of rows: row_id_a < row_id_b, similarity. Copies of a text are rows like any other, so each of their pairs comes out (similarity 1)."""
     rows = pages.select(F.col(row_id).alias("row"), F.col(text).alias("text")).where(F.length("text") >= 2 * least_words - 1)
-    rows = rows.withColumn("id", F.xxhash64("text"))
+    rows = materialize(rows.withColumn("id", F.xxhash64("text")), "texts")
     pairs = materialize(similar_texts(rows, n, threshold, least_words, **how), "similar")
     member = rows.select("id", "row")
     again = member.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
@@ -348,6 +348,7 @@ def duplicate_groups(pages: DataFrame, row_id: str = "row_id", text: str = "text
     one aggregation a round, written to the shared folder each time.
     """
     rows = pages.select(F.col(row_id).alias("row"), F.col(text).alias("text")).withColumn("id", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = materialize(rows, "texts")
     pairs = materialize(similar_texts(rows, n, threshold, least_words, **how), "similar")
     edges = materialize(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     label = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")

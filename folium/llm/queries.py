@@ -123,4 +123,12 @@ k AS (SELECT c, k, count(DISTINCT run_id) AS runs FROM w GROUP BY c, k),
 a AS (SELECT c, count(DISTINCT run_id) AS all_runs FROM pages GROUP BY c)
 SELECT row_id, block_order, line_no FROM w JOIN k USING (c, k) JOIN a USING (c) WHERE runs >= 5 AND runs >= 0.1 * all_runs
 """
-SQL: dict[str, str] = {"p2_found": _P2}
+_P6 = r"""
+WITH b AS (SELECT row_id, unnest(blocks) AS b, unnest(range(len(blocks))) AS i FROM page_blocks),
+w AS (SELECT row_id, regexp_extract_all(lower(string_agg(b.text, ' ' ORDER BY b.block_order, i)), '[\p{L}\p{Nd}]+') AS w FROM b WHERE b.text <> '' GROUP BY row_id),
+s AS (SELECT row_id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM w WHERE len(w) >= 30),
+g AS (SELECT row_id, len(s) AS n, unnest(s) AS g FROM s),
+o AS (SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, a.n + b.n - count(*) AS total, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.row_id < b.row_id GROUP BY a.row_id, b.row_id, a.n, b.n)
+SELECT row_id_a, row_id_b FROM o WHERE 5 * shared >= 3 * total
+"""
+SQL: dict[str, str] = {"p2_found": _P2, "p6_found": _P6}

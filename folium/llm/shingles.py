@@ -77,15 +77,26 @@ def _chunks(texts: list[str], chars: int):
         yield start, len(texts)
 
 
-def gram_sets(texts: list[str], n: int, chars: int = 1 << 17) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Bits of a word's hash that name its slot in counts of words.
+WORD_BITS = 16
+
+
+def gram_sets(texts: list[str], n: int, chars: int = 1 << 17, level: np.ndarray | None = None, tally: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams of each text as 48-bit hashes: (hashes, offsets, words of each text).
 
-    Text i owns hashes[offsets[i]:offsets[i + 1]], in ascending order.
+    Text i owns hashes[offsets[i]:offsets[i + 1]], in ascending order.  With
+    levels of commonness per word slot, the upper 16 bits of a hash are the slot of
+    the gram's rarest word, so that grams around one rare word sort together; the
+    lower 32 bits are then the upper 32 of the plain hash.  tally: counts per word
+    slot, which all words are added to.
     """
     grams, sizes, words = [], [], []
     for a, b in _chunks(texts, chars):
         h, doc = word_hashes(texts[a:b])
         words.append(np.bincount(doc, minlength=b - a))
+        slot = (h >> np.uint64(64 - WORD_BITS)).astype(np.int64) if level is not None or tally is not None else None
+        if tally is not None:
+            tally += np.bincount(slot, minlength=len(tally))
         m = len(h) - n + 1
         if m < 1:
             sizes.append(np.zeros(b - a, np.int64))
@@ -94,7 +105,15 @@ def gram_sets(texts: list[str], n: int, chars: int = 1 << 17) -> tuple[np.ndarra
         for k in range(1, n):
             g = mix(g * _M2 + h[k : k + m])
         own = doc[:m] == doc[n - 1 :]
-        key = np.sort((doc[:m][own].astype(np.uint64) << np.uint64(48)) | (g[own] >> np.uint64(16)))
+        if level is None:
+            code = g >> np.uint64(16)
+        else:
+            by = (level[slot].astype(np.uint64) << np.uint64(WORD_BITS)) | slot.astype(np.uint64)
+            rare = by[:m].copy()
+            for k in range(1, n):
+                np.minimum(rare, by[k : k + m], out=rare)
+            code = ((rare & np.uint64((1 << WORD_BITS) - 1)) << np.uint64(32)) | (g >> np.uint64(32))
+        key = np.sort((doc[:m][own].astype(np.uint64) << np.uint64(48)) | code[own])
         if len(key):
             key = key[np.concatenate(([True], key[1:] != key[:-1]))]
         sizes.append(np.bincount((key >> np.uint64(48)).astype(np.int64), minlength=b - a))

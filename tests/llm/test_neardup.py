@@ -59,8 +59,8 @@ def test_gram_sets_and_packing():
     assert (_unpack(_pack(g)) == g).all()
 
 
-@pytest.mark.parametrize("how", [{}, {"blocks": 3, "extra": 1}, {"blocks": 2, "block_bytes": 600}])
-def test_equals_brute_force(spark, how):
+@pytest.mark.parametrize("how", [{}, {"block_bytes": 2000}, {"hot": 3}])
+def test_equals_brute_force(spark, how):  # small blocks; columns of more than three texts cut into chunks
     texts = corpus(11)
     df = spark.createDataFrame([(k, t, "x", 1) for k, t in texts], SCHEMA).repartition(3)
     for n, t, least in ((3, 0.6, 5), (5, 0.8, 1)):
