@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folium.llm.lines import clean_pages, repeated_blocks, repeated_lines
+from folium.llm.lines import Repeats, clean_pages, repeated_blocks, repeated_lines
 from folium.llm.mixing import draw, in_training_order, reached_shares, source_plan
 from folium.llm.neardup import duplicate_groups, near_duplicates
 from folium.llm.pages import page_texts
@@ -24,7 +24,7 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p2_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    """Repeated blocks of one to three successive lines, with the runs that hold them."""
+    """Repeated blocks of successive lines of any length, with the runs that hold them."""
     return repeated_blocks(table(spark, sf, "page_blocks"))
 
 
@@ -36,7 +36,7 @@ def p2_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def repeated(spark: SparkSession, sf: str) -> DataFrame:
     """The repeated lines of each collection, stored: coll, block."""
-    return materialize(repeated_blocks(table(spark, sf, "page_blocks"), deepest=1).select("coll", "block"), "repeated")
+    return Repeats(table(spark, sf, "page_blocks")).cases.select("coll", "block")
 
 
 def _noise(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

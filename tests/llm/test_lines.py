@@ -1,6 +1,6 @@
-import numpy as np
+import random
 
-from folium.llm.lines import _line_ids, clean_pages, prefix_intervals, repeated_blocks, repeated_lines
+from folium.llm.lines import _line_ids, clean_pages, repeated_blocks, repeated_lines
 
 SCHEMA = "row_id long, run_id string, source array<string>, page long, blocks array<struct<block_type string, text string, block_order long, attrs map<string,string>>>, coll string, c int"
 
@@ -36,12 +36,36 @@ def test_share_of_runs(spark):
 
 def test_blocks_and_empty(spark):
     rows = [(f"r{i}", ["s"], [(1, "first line of notice\nsecond line of notice"), (2, f"own {chr(97 + i // 5)}{chr(97 + i)} text here")]) for i in range(25)]
-    got = sorted((r.depth, r.runs) for r in repeated_blocks(pages(spark, rows)).collect())
-    assert got == [(1, 25), (1, 25), (2, 25)]
-    assert repeated_lines(pages(spark, [])).collect() == []
+    got = sorted((r.lines, r.runs) for r in repeated_blocks(pages(spark, rows)).collect())
+    assert got == [(2, 25)]
+    assert repeated_lines(pages(spark, [])).collect() == [] and repeated_blocks(pages(spark, [])).collect() == []
 
 
-def test_intervals_by_hand():
-    lines = np.array([[1, 2, 0], [1, 2, 0], [1, 3, 0], [5, 0, 0]], np.uint64)
-    out = [(d, f.tolist(), r.tolist()) for d, _, f, _, r in prefix_intervals(np.ones(4, np.uint64), np.array([1, 2, 2, 1], np.uint64), lines, 3, False)]
-    assert out[0] == (1, [1, 5], [2, 1]) and out[1] == (2, [1], [2]) and out[2][1] == []
+def test_long_blocks(spark):
+    """A notice of ten lines, its last seven, and single lines of it elsewhere; equal to brute force over all prefixes."""
+    rng = random.Random(3)
+    notice = [f"line of notice {w}" for w in "a b c d e f g h i j".split()]
+    rows = []
+    for i in range(40):
+        own = lambda: f"own text {''.join(rng.choice('abcdefghij') for _ in range(9))} here"
+        cut = [notice, notice[3:], [notice[rng.randrange(10)]], [], notice[:6] + ["x"] + notice[6:]][i % 5]
+        rows.append((f"r{i}", ["s"], [(1, own()), (2, "\n".join([own(), *cut, own()])), (3, own())]))
+    got = {(r.lines, r.runs) for r in repeated_blocks(pages(spark, rows)).collect()}
+    docs = [[x for _, t in b for x in t.split("\n") if len(x.split()) >= 3] for _, _, b in rows]
+    runs = {}
+    for d, lines in enumerate(docs):
+        for i in range(len(lines)):
+            for j in range(i + 1, len(lines) + 1):
+                runs.setdefault(tuple(lines[i:j]), set()).add(d)
+    frequent = {b: len(r) for b, r in runs.items() if len(r) >= 5}
+    want = set()
+    for lines in docs:
+        reach = 0
+        for i in range(len(lines)):
+            n = max((k for k in range(1, len(lines) - i + 1) if tuple(lines[i : i + k]) in frequent), default=0)
+            if n and i + n > reach:
+                want.add((n, frequent[tuple(lines[i : i + n])]))
+            reach = max(reach, i + n)
+    assert got == want and max(n for n, _ in got) == 10
+    found = {(r.row_id, r.block_order, r.line_no) for r in repeated_lines(pages(spark, rows), part_bytes=64).collect()}
+    assert found == {(i, o, k) for i, (_, _, b) in enumerate(rows, 1) for o, t in b for k, x in enumerate(t.split("\n"), 1) if (x,) in frequent}
