@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folium.operators.intervals import interval_spans, merge_intervals
 from folium.operators.references import Reference, orphan_references, orphans_by_period
 from folium.runtime import table
+from folium.streaming.intervals import drain_spans
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -16,6 +17,14 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return spans.select("run_id", "span_kind", F.col("span_start").alias("page_start"), F.col("span_end").alias("page_end"))
 
 
+def p1_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a stream of the portions, with the maps in keyed state."""
+    whole = table(spark, sf, "portions")
+    stream = spark.readStream.schema(whole.schema).parquet(f"{sf}/portions.parquet*")
+    spans = drain_spans(spark, stream, "run_id", "page_start", "page_end", least=1)
+    return spans.select(F.col("k").alias("run_id"), "span_kind", F.col("span_start").alias("page_start"), F.col("span_end").alias("page_end"))
+
+
 def p1_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Per run: number of periods, covered pages and the pages left out between them."""
     p = merge_intervals(table(spark, sf, "portions"), "run_id", "page_start", "page_end", least=1)
@@ -68,10 +77,12 @@ o AS (SELECT ref_table, row_id, ref_field, t, CASE WHEN n = 0 THEN 'missing' WHE
       FROM j WHERE n_live = 0)
 """
 
-QUERIES = {"p1_found": p1_found, "p1_coverage": p1_coverage, "p4_found": p4_found, "p4_by_month": p4_by_month}
+QUERIES = {"p1_found": p1_found, "p1_stream": p1_stream, "p1_coverage": p1_coverage, "p4_found": p4_found, "p4_by_month": p4_by_month}
+_P1_SPANS = _P1 + """SELECT run_id, 'period' AS span_kind, s AS page_start, e AS page_end FROM p UNION ALL
+      SELECT * FROM (SELECT run_id, 'gap' AS span_kind, lag(e) OVER (PARTITION BY run_id ORDER BY s) + 1 AS page_start, s - 1 AS page_end FROM p) WHERE page_start IS NOT NULL"""
 SQL = {
-    "p1_found": _P1 + """SELECT run_id, 'period' AS span_kind, s AS page_start, e AS page_end FROM p UNION ALL
-      SELECT * FROM (SELECT run_id, 'gap' AS span_kind, lag(e) OVER (PARTITION BY run_id ORDER BY s) + 1 AS page_start, s - 1 AS page_end FROM p) WHERE page_start IS NOT NULL""",
+    "p1_found": _P1_SPANS,
+    "p1_stream": _P1_SPANS,
     "p1_coverage": _P1 + """SELECT run_id, count(*) AS periods, CAST(sum(e - s + 1) AS BIGINT) AS covered,
       CAST(max(e) - min(s) + 1 - sum(e - s + 1) AS BIGINT) AS uncovered FROM p GROUP BY run_id""",
     "p4_found": _P4 + "SELECT ref_table, row_id, ref_field, orphan_kind FROM o",

@@ -47,6 +47,11 @@ def shared_dir(spark: SparkSession) -> str:
     return given.rstrip("/")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several steps read to the shared folder and read it again.
 
@@ -54,7 +59,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     planner knows the size: it broadcasts a small one and shuffles a large one.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -3,8 +3,8 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from folium.operators.intervals import IntervalMap, interval_gaps, interval_spans, merge_intervals
-from folium.streaming.intervals import stream_spans
+from folium.operators.intervals import IntervalMap, interval_spans, merge_intervals
+from folium.streaming.intervals import OUT, drain_spans, spans_of_changes, stream_pieces
 
 SCHEMA = "run_id string, page_start long, page_end long, key string, s long"
 
@@ -48,6 +48,22 @@ def test_blocks_of_any_size_agree(spark):
     assert spans(df, least=1, block=1) == want
 
 
+def test_hot_key_over_many_blocks(spark):
+    """Two thirds of the rows in one key, disjoint and far apart, with long intervals over whole blocks."""
+    rng = random.Random(8)
+    rows = [("hot", s := rng.randrange(0, 10**9, 7), s + rng.choice([0, 3, 5, 70, 9_000_000 if rng.random() < 0.01 else 1]), "x", 1) for _ in range(2000)]
+    rows += [(f"k{i % 50}", s := rng.randint(1, 50), s + 2, "x", 1) for i in range(1000)]
+    want = set()
+    for k in {r[0] for r in rows}:
+        m = IntervalMap()
+        for r in rows:
+            if r[0] == k:
+                m.insert(r[1], r[2])
+        want |= {(k, "period", *p) for p in m.periods()} | {(k, "gap", *g) for g in m.gaps()}
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert spans(df) == want and spans(df, block=64) == want
+
+
 def test_dirty_rows_and_far_bounds(spark):
     top = 2**63 - 1
     rows = [(None, 1, 2, None, None), ("a", None, 2, None, None), ("a", 5, None, None, None), ("a", 9, 4, None, None), ("a", 0, 3, None, None), ("b", 1, top, None, None), ("b", 5, 9, None, None), ("c", 1, 1, None, None), ("c", 1, 1, None, None), ("c", 2, 2, None, None), ("c", top, top, None, None)]
@@ -58,7 +74,7 @@ def test_dirty_rows_and_far_bounds(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert spans(df) == set()
-    assert interval_gaps(merge_intervals(df, "run_id", "page_start", "page_end"), "run_id").collect() == []
+    assert merge_intervals(df, "run_id", "page_start", "page_end").collect() == []
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -66,14 +82,14 @@ def test_stream_equals_batch(spark, tmp_path):
     for i in range(0, len(rows), 3):
         spark.createDataFrame(rows[i : i + 3], "run_id string, page_start long, page_end long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("run_id string, page_start long, page_end long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    seen = {}
+    seen = []
 
     def keep(df, _):
-        for r in df.collect():
-            seen.setdefault(r.k, {}).setdefault(_, set()).add((r.k, r.span_kind, r.span_start, r.span_end))
+        seen.extend(tuple(r) for r in df.collect())
 
-    q = stream_spans(stream, "run_id", "page_start", "page_end", 1).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q = stream_pieces(stream, "run_id", "page_start", "page_end", 1, block=4).writeStream.foreachBatch(keep).outputMode("update").option("checkpointLocation", str(tmp_path / "cp")).start()
     q.processAllAvailable()
     q.stop()
-    last = set().union(*(v[max(v)] for v in seen.values()))
-    assert last == brute([r for r in rows if r[1] is not None])
+    want = brute([r for r in rows if r[1] is not None])
+    assert {tuple(r) for r in spans_of_changes(spark.createDataFrame(seen, OUT)).collect()} == want
+    assert {tuple(r) for r in drain_spans(spark, stream, "run_id", "page_start", "page_end", 1).collect()} == want
