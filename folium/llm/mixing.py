@@ -16,6 +16,8 @@ from folium.runtime import materialize, small_side
 
 #: Buckets of a source's documents over which running sums are kept apart, so that no task holds a whole source.
 BUCKETS = 4096
+#: Share of the demand by which the tokens drawn may differ for a source to be met.
+TOLERANCE = 0.01
 
 
 def source_plan(tokens: DataFrame, targets: DataFrame) -> DataFrame:
@@ -55,8 +57,9 @@ def draw(tokens: DataFrame, plan: DataFrame) -> DataFrame:
     """The copies drawn: doc_id, source, n_tokens, copy_no (from 1), position in [0, 1), not sorted.
 
     A source is passed over whole as often as its budget allows; the last, partial
-    pass takes documents in the order of their hashes up to the rest of the
-    budget.  Documents without tokens, with a null source or one without a target
+    pass takes documents in the order of their hashes as far as they fit into the
+    rest of the budget, then the one document whose size comes closest to what is
+    left.  Documents without tokens, with a null source or one without a target
     are not drawn.
     """
     p = small_side(plan.select("source", "passes", "rest", "slope"))
@@ -67,8 +70,13 @@ def draw(tokens: DataFrame, plan: DataFrame) -> DataFrame:
     inside = F.sum("n_tokens").over(Window.partitionBy("source", "bucket").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("inside", inside).join(base, ["source", "bucket"])
     rows = rows.withColumn("before", F.col("base") + F.col("inside") - F.col("n_tokens"))
-    partial = F.when(F.col("before") + F.col("n_tokens") / 2 <= F.col("rest"), 1).otherwise(0)
-    rows = rows.withColumn("times", (F.col("passes") + partial).cast("int")).where("times > 0")
+    rows = materialize(rows.withColumn("partial", F.col("before") + F.col("n_tokens") <= F.col("rest")), "placed")
+    left = rows.groupBy("source").agg((F.max("rest") - F.sum(F.when(F.col("partial"), F.col("n_tokens")).otherwise(0))).alias("left"))
+    off = F.abs(F.col("n_tokens") - F.col("left"))
+    last = rows.where("NOT partial").join(small_side(materialize(left, "left")), "source").where(off < F.col("left")).groupBy("source").agg(F.min_by("before", F.struct(off, "h", "doc_id")).alias("last"))
+    rows = rows.join(small_side(materialize(last, "last")), "source", "left")
+    taken = F.when(F.col("partial") | F.coalesce(F.col("before") == F.col("last"), F.lit(False)), 1).otherwise(0)
+    rows = rows.withColumn("times", (F.col("passes") + taken).cast("int")).where("times > 0")
     drawn = materialize(rows.select("doc_id", "source", "n_tokens", "before", "times", "slope"), "drawn")
     total = materialize(drawn.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("drawn")).join(tokens.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("whole")), "source"), "totals")
     copies = drawn.join(small_side(total), "source").withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("times"))))
@@ -83,11 +91,12 @@ def in_training_order(drawn: DataFrame) -> DataFrame:
 
 
 def reached_shares(drawn: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per target source what the mix holds: drawn_tokens, actual_share (of the mix), corpus_share (of all tokens asked for), most_used and status (met, short or absent)."""
+    """Per target source what the mix holds: drawn_tokens, actual_share (of the mix), corpus_share (of all tokens asked for), most_used and status: absent (no document), short (max_repeats allows no more), met (drawn within TOLERANCE of the demand) or near (whole documents come no closer)."""
     got = materialize(drawn.groupBy("source").agg(F.sum("n_tokens").alias("drawn_tokens"), F.countDistinct("doc_id").alias("drawn_documents"), F.max("copy_no").alias("most_used")), "got")
     total = got.agg(F.sum("drawn_tokens")).first()[0] or 0
     r = plan.join(got, "source", "left").fillna(0, ["drawn_tokens", "drawn_documents", "most_used"])
     share = F.col("drawn_tokens") / F.lit(float(max(total, 1)))
-    status = F.when(F.col("documents") == 0, "absent").when(F.col("budget") < F.col("demand_tokens"), "short").otherwise("met")
+    off = F.abs(F.col("drawn_tokens") - F.col("demand_tokens"))
+    status = F.when(F.col("documents") == 0, "absent").when(F.col("budget") < F.col("demand_tokens"), "short").when(off <= TOLERANCE * F.col("demand_tokens"), "met").otherwise("near")
     asked = F.when(F.col("demand_tokens") > 0, F.col("drawn_tokens") / F.col("demand_tokens") * F.col("target_share")).otherwise(0.0)
     return r.select("source", "target_share", "max_repeats", "documents", "available_tokens", "demand_tokens", "drawn_documents", "drawn_tokens", "most_used", share.alias("actual_share"), asked.alias("corpus_share"), status.alias("status"))

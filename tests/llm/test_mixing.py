@@ -35,3 +35,13 @@ def test_hot_source_and_empty(spark):
     assert rows == [] and shares["a"].status == "absent"
     rows, shares = mix(spark, [(1, "a", 5, ""), (2, "b", 5, "")], [])
     assert rows == [] and shares == {}
+
+
+def test_met_by_what_was_drawn(spark):
+    """Uneven documents: the last one fills what is left; 'met' says what was drawn."""
+    docs = [(i, "uneven", 5 + (i * 7919) % 400, "") for i in range(300)] + [(1000 + i, "huge", 9000, "") for i in range(3)] + [(2000 + i, "rest", 3, "") for i in range(4000)]
+    _, shares = mix(spark, docs, [("uneven", 0.1, 1), ("huge", 0.1, 2), ("rest", 0.1, 9)])
+    total = sum(d[2] for d in docs)
+    assert abs(shares["uneven"].drawn_tokens - 0.1 * total) <= 5 and shares["uneven"].status == "met"
+    assert abs(shares["rest"].drawn_tokens - 0.1 * total) <= 3 and shares["rest"].status == "met"
+    assert shares["huge"].drawn_tokens == 9000 and shares["huge"].status == "near"
