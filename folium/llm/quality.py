@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folium.llm import gbt
-from folium.llm.holdout import HAND_CHECKED
+from folium.llm.holdout import CALIBRATE
 from folium.llm.lines import _line_ids, _scoped, clean_pages, occurrences
 from folium.llm.shingles import mix
 from folium.runtime import materialize
@@ -144,7 +144,7 @@ class PageBatch:
         at = pa.array(by)
         self.texts = pc.fill_null(flat.field("text"), "").take(at).to_pylist()
         self.kinds = pc.fill_null(flat.field("block_type"), "").take(at).to_pylist()
-        self.attrs = flat.field("attrs").take(at)
+        self.styles = self._classes(flat.field("attrs"), by)
         if keys is not None and len(keys) and len(self.texts):
             c = pc.fill_null(coll, 0).to_numpy().view(np.uint64)[self.page]
             has = coll.is_valid().to_numpy(zero_copy_only=False)[self.page]
@@ -168,9 +168,21 @@ class PageBatch:
         for i in range(len(self.row_id)):
             yield i, range(self.start[i], self.start[i + 1])
 
+    @staticmethod
+    def _classes(attrs: pa.MapArray, by: np.ndarray) -> dict[int, str]:
+        """The class attribute of each block that has one."""
+        if not len(attrs):
+            return {}
+        off = attrs.offsets.to_numpy()
+        hit = np.flatnonzero(pc.fill_null(pc.equal(attrs.keys.slice(off[0], off[-1] - off[0]), "class"), False).to_numpy(zero_copy_only=False)) + off[0]
+        owner = np.searchsorted(off, hit, side="right") - 1
+        place = np.empty(len(by), np.int64)
+        place[by] = np.arange(len(by))
+        values = attrs.items.take(pa.array(hit)).to_pylist()
+        return dict(zip(place[owner].tolist(), values))
+
     def style(self, b: int) -> str | None:
-        a = self.attrs[b]
-        return dict(a.as_py()).get("class") if a.is_valid else None
+        return self.styles.get(b)
 
 
 def block_keys(cases: DataFrame) -> np.ndarray | None:
@@ -224,22 +236,33 @@ def _measured(keys, labelled: bool):
     return run
 
 
+def measured_texts(texts: tuple[tuple[str, str], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and class numbers of (class, text)."""
+    return np.array([statistics(t.split("\n")) for _, t in texts]), np.array([CLASSES.index(c) for c, _ in texts])
+
+
 class Classifier:
-    """One boosted model per class, calibrated on the hand-checked holdout; the class of the highest probability wins."""
+    """One boosted model per class, calibrated on hand-checked pages that none was fitted on; the class of the highest probability wins. A class without a weakly labelled page is not given."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        hx = np.array([statistics(t.split("\n")) for _, t in HAND_CHECKED])
-        hy = np.array([CLASSES.index(c) for c, _ in HAND_CHECKED])
-        # the holdout is for calibration; without any sample it must serve for fitting too
-        if len(np.unique(y)) < len(CLASSES):
-            x, y = np.concatenate([x, hx]), np.concatenate([y, hy])
+        hx, hy = measured_texts(CALIBRATE)
         cols = slice(3, None)  # sizes tell nothing
+        self.known = np.array([(y == c).any() for c in range(len(CLASSES))])
         self.models = [gbt.calibrate(gbt.fit(x[:, cols], y == c), hx[:, cols], hy == c) for c in range(len(CLASSES))]
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         p = np.column_stack([m.probability(x[:, 3:]) for m in self.models]) if len(x) else np.zeros((0, len(CLASSES)))
+        p = p * self.known if self.known.any() else p
         return p / np.maximum(p.sum(axis=1, keepdims=True), 1e-12)
 
+    def reliability(self, texts: tuple[tuple[str, str], ...], bins: int = 5) -> dict:
+        """How far probabilities can be trusted on texts that were read: accuracy, Brier score of prose, and per bin of p_prose its mean and the share that is prose."""
+        x, y = measured_texts(texts)
+        p = self.probabilities(x)
+        prose, at = p[:, 0], np.minimum((p[:, 0] * bins).astype(int), bins - 1)
+        table = {int(b): (float(prose[at == b].mean()), float((y[at == b] == 0).mean()), int((at == b).sum())) for b in np.unique(at)}
+        return {"accuracy": float((p.argmax(axis=1) == y).mean()), "brier": float(((prose - (y == 0)) ** 2).mean()), "bins": table}
+
 
 def fit_classifier(scoped: DataFrame, keys, sample: int = SAMPLE) -> Classifier:
     """Fit on the weakly labelled among at most `sample` pages (the smallest hashes of row_id)."""
