@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import html
+import re
 from html.parser import HTMLParser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "ul", "ol", "dl", "dt", "dd", "table", "caption", "thead", "tbody", "tr", "th", "td", "div", "figure", "pre", "blockquote", "img")
+#: Tags that hold text of their own, and those that only hold others (fixed values of the block format).
+TEXT_TAGS = ("h1", "h2", "p", "dt", "dd", "li", "caption", "th", "td", "a")
+HOLDER_TAGS = ("table", "thead", "tbody", "tr", "ol", "ul", "dl")
 BLOCKS = "array<struct<block_type:string,text:string,block_order:bigint,attrs:map<string,string>>>"
 _BREAK = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "tr", "dt", "dd", "caption", "br", "div"}
-KEPT_TAGS = {"h1", "h2", "h3", "p", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody", "tr", "th", "td", "strong", "em", "img", "a"}
+KEPT_TAGS = {"h1", "h2", "h3", "p", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody", "tr", "th", "td", "strong", "em", "img", "a", "br"}
 KEPT_P_CLASSES = {"page-number", "running-head"}
 
 
@@ -53,44 +56,60 @@ def html_text(source: str | None) -> str:
 
 
 class _Blocks(HTMLParser):
+    """Rows (type, text, attrs) in document order; the last row collects text while `parts` is a list."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[dict] = []
-        self.open: list[int] = []
+        self.rows: list[list] = []
+        self.parts: list[str] | None = None
+
+    def put(self, kind, text="", attrs=None):
+        """A row before the one that still collects text."""
+        self.rows.insert(len(self.rows) - (self.parts is not None), [kind, text, attrs])
+
+    def end_text(self):
+        if self.parts is not None:
+            self.rows[-1][1] = " ".join(" ".join(self.parts).split())
+            self.parts = None
 
     def handle_starttag(self, tag, attrs):
-        if tag not in BLOCK_TAGS:
-            return
-        a = {k: v or "" for k, v in attrs}
-        self.rows.append({"block_type": tag, "text": a.get("alt", "") if tag == "img" else "", "attrs": a or None})
-        if tag != "img":
-            self.open.append(len(self.rows) - 1)
+        given = dict(attrs)
+        if tag == "img":
+            self.put("img", given.get("alt") or "", {"alt": given.get("alt") or ""})
+        elif tag == "a" and self.parts is not None:
+            self.parts.append(f'<a href="{given["href"]}">' if given.get("href") else "<a>")
+        elif tag in HOLDER_TAGS:
+            self.put(tag)
+        elif tag in TEXT_TAGS:
+            self.end_text()
+            name = {"p": "class", "a": "href"}.get(tag)
+            self.rows.append([tag, "", {name: given[name]} if name and given.get(name) else None])
+            self.parts = []
 
     def handle_endtag(self, tag):
-        if tag in BLOCK_TAGS and tag != "img":
-            for i in reversed(range(len(self.open))):
-                if self.rows[self.open[i]]["block_type"] == tag:
-                    del self.open[i:]
-                    self.rows.append({"block_type": "/" + tag, "text": "", "attrs": None})
-                    return
+        if tag == "a" and self.parts is not None:
+            self.parts.append("</a>")
+            return
+        if self.parts is not None and self.rows[-1][0] == tag:
+            self.end_text()
+        if tag == "p" and self.parts is None and self.rows and self.rows[-1][:2] == ["p", ""]:
+            return  # nothing to close: an empty paragraph stands alone
+        if tag in HOLDER_TAGS or tag in TEXT_TAGS or tag == "img":
+            self.put("/" + tag)
 
     def handle_data(self, data):
-        if self.open:
-            self.rows[self.open[-1]]["text"] += data
+        if self.parts is not None:
+            self.parts.append(data)
 
 
 def html_blocks(source: str | None, drop_empty: bool = False) -> list[dict]:
-    """Opening and closing block tags in document order, each with its own text; numbered from 1."""
+    """Opening and closing block tags in document order, each with its own text, numbered from 1; links stay in the text. An empty paragraph has no closing row; drop_empty leaves out text blocks without text."""
     p = _Blocks()
     p.feed(source or "")
     p.close()
-    out = []
-    for r in p.rows:
-        text = " ".join(r["text"].split())
-        if drop_empty and not text and not r["block_type"].startswith("/") and r["block_type"] in ("p", "li", "td", "th"):
-            continue
-        out.append({"block_type": r["block_type"], "text": text, "block_order": len(out) + 1, "attrs": r["attrs"]})
-    return out
+    p.end_text()
+    rows = [r for r in p.rows if not drop_empty or r[1] or r[0].startswith("/") or r[0] in HOLDER_TAGS or r[0] == "img"]
+    return [{"block_type": kind, "text": text, "block_order": n, "attrs": attrs} for n, (kind, text, attrs) in enumerate(rows, 1)]
 
 
 class _Clean(HTMLParser):
@@ -106,12 +125,12 @@ class _Clean(HTMLParser):
                 keep["class"] = a["class"]
             if tag == "a" and (a.get("href") or "").startswith("#"):
                 keep["href"] = a["href"]
-            if tag == "img" and a.get("alt"):
-                keep["alt"] = a["alt"]
+            if tag == "img":
+                keep = {"alt": a.get("alt") or ""} | ({"data-count": a["data-count"]} if a.get("data-count") else {})
             self.out.append("<" + tag + "".join(f' {k}="{html.escape(v)}"' for k, v in keep.items()) + ">")
 
     def handle_endtag(self, tag):
-        if tag in KEPT_TAGS and tag != "img":
+        if tag in KEPT_TAGS and tag not in ("img", "br"):
             self.out.append(f"</{tag}>")
 
     def handle_data(self, data):
@@ -119,11 +138,11 @@ class _Clean(HTMLParser):
 
 
 def clean_html(source: str | None) -> str:
-    """Only known tags, two classes of paragraphs and inner links are kept."""
+    """Only known tags, two classes of paragraphs, inner links and the text and count of images are kept; white space is one blank, tags that follow each other stand on lines of their own."""
     p = _Clean()
     p.feed(source or "")
     p.close()
-    return "".join(p.out)
+    return re.sub(r">\s+<", ">\n<", re.sub(r"\s+", " ", "".join(p.out))).strip()
 
 
 def to_text(source: Column | str) -> Column:

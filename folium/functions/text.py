@@ -40,22 +40,32 @@ def alpha_ratio(x) -> Column:
     return F.when(n > 0, F.length(F.regexp_replace(_c(x), r"[^A-Za-z]", "")) / n).otherwise(0.0)
 
 
+#: Letters of any script, and white space of any kind, as Python, Java and RE2 read them alike.
+_BLANK = r"\s\p{Z}\x{85}\x{1c}-\x{1f}"
+
+
+def strip(x) -> Column:
+    """A text without white space at its ends."""
+    return F.regexp_replace(_c(x), rf"^[{_BLANK}]+|[{_BLANK}]+$", "")
+
+
 def text_quality(x) -> Column:
-    """0.5 letters' share + 0.3 share of tokens with a vowel + 0.2 min(tokens / 40, 1), within 0..1; 0 for a null or empty text."""
+    """0.5 letters' share + 0.3 share of tokens with a vowel (y is one) + 0.2 min(tokens / 40, 1), within 0..1; tokens begin with a letter and have three characters or more of letters, apostrophes and hyphens. 0 for a null text or one without tokens."""
     t = F.coalesce(_c(x), F.lit(""))
-    n = F.regexp_count(t, F.lit("[A-Za-z]+"))
-    voiced = F.regexp_count(t, F.lit("[A-Za-z]*[AEIOUaeiou][A-Za-z]*"))  # a word with a vowel is one match
-    visible = F.length(F.regexp_replace(t, r"\s+", ""))
-    alpha = F.when(visible > 0, F.length(F.regexp_replace(t, r"[^A-Za-z]+", "")) / visible).otherwise(0.0)
-    score = 0.5 * alpha + 0.3 * F.when(n > 0, voiced / n).otherwise(0.0) + 0.2 * F.least(n / 40.0, F.lit(1.0))
+    token = "[A-Za-z][A-Za-z'’-]{2,}"
+    n = F.regexp_count(t, F.lit(token))
+    voiced = F.size(F.filter(F.regexp_extract_all(t, F.lit(f"({token})"), F.lit(1)), lambda w: w.rlike("[aeiouyAEIOUY]")))
+    visible = F.length(F.regexp_replace(t, rf"[{_BLANK}]+", ""))
+    alpha = F.length(F.regexp_replace(t, r"\P{L}+", "")) / F.greatest(visible, F.lit(1))
+    score = 0.5 * alpha + 0.3 * (voiced / F.greatest(n, F.lit(1))) + 0.2 * F.least(n / 40.0, F.lit(1.0))
     return F.when(n == 0, 0.0).otherwise(F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0)))
 
 
-def looks_truncated(x, least: int = 20) -> Column:
-    """A text of some length that stops without closing punctuation and not on a capital; an ellipsis is a stop."""
-    t = F.rtrim(_c(x))
+def looks_truncated(x, least: int = 50) -> Column:
+    """A text of some length that stops neither on one of . ! ? ; ' nor on a capital; an ellipsis is a stop."""
+    t = strip(x)
     last = F.substring(t, -1, 1)
-    return F.coalesce((F.length(t) >= least) & ~t.endswith("...") & ~last.isin(".", "!", "?", '"', "'", ";", ":", ")", "”", "’") & ~last.rlike("[A-Z]"), F.lit(False))
+    return F.coalesce((F.length(t) >= least) & ~t.endswith("...") & ~last.isin(".", "!", "?", ";", "'") & ~last.rlike(r"\p{Lu}"), F.lit(False))
 
 
 def fix_numeric_token(x) -> Column:
@@ -102,12 +112,29 @@ def toc_entry(x) -> Column:
     return F.when(page != "", F.struct(title.alias("title"), page.cast("bigint").alias("page")))
 
 
+#: Stat keys of combat blocks and forms (fixed values).
+STAT_KEYS = ("SKILL", "STAMINA", "LUCK")
+
+
 def key_values(x) -> Column:
-    """'KEY 12' and 'KEY = 12' pairs of a text in capitals: array<struct<key, value>>."""
-    t = _c(x)
-    pattern = F.lit(r"\b([A-Z][A-Z]{2,})\s*[=:]?\s*([0-9]{1,4})\b")
-    k, v = F.regexp_extract_all(t, pattern, F.lit(1)), F.regexp_extract_all(t, pattern, F.lit(2))
-    return F.arrays_zip(k.alias("key"), v.alias("value"))
+    """What a line assigns: struct<entity, pairs: array<struct<key, value>>>, null if nothing.
+
+    A line with SKILL and STAMINA gives the stats that a number follows, and the
+    capitals before SKILL as entity; else 'Key = 12' or 'Key: 12' alone gives one
+    pair, 'Key =' one without a value.
+    """
+    t = strip(x)
+    u = F.upper(t)
+    number = lambda k: F.regexp_extract(u, rf"\b{k}\s+([0-9]{{1,3}})\b", 1)
+    pair = lambda k, v: F.struct(k.alias("key"), v.cast("int").alias("value"))
+    none = F.lit(None).cast("struct<key:string,value:int>")
+    stats = F.filter(F.array(*[F.when(number(k) != "", pair(F.lit(k), F.nullif(number(k), F.lit("")))).otherwise(none) for k in STAT_KEYS]), lambda p: p.isNotNull())
+    entity = F.nullif(collapse(F.regexp_extract(u, r"\b([A-Z][A-Z' -]{2,30})\s+SKILL\s+[0-9]{1,3}\b", 1)), F.lit(""))
+    line = r"^([A-Za-z][A-Za-z ]{1,24})\s*[:=]\s*([0-9]{1,4})?\s*$"
+    key = F.upper(collapse(F.regexp_extract(t, line, 1)))
+    one = F.array(pair(key, F.nullif(F.regexp_extract(t, line, 2), F.lit(""))))
+    out = lambda e, p: F.struct(e.cast("string").alias("entity"), p.alias("pairs"))
+    return F.when(u.contains("SKILL") & u.contains("STAMINA") & (F.size(stats) > 0), out(entity, stats)).when(key != "", out(F.lit(None), one))
 
 
 def private_text(x) -> Column:
@@ -170,13 +197,22 @@ def table_stats(html) -> Column:
     return F.struct(tables.alias("tables"), rows.alias("rows"), cells.alias("cells"), n(r"(?i)turn\s+to").alias("turns"), ((tables > 0) & (rows <= tables) & (cells >= 6)).alias("collapsed"))
 
 
+#: Words that hint at a kind of document, in order of precedence (fixed values).
+KIND_WORDS = {
+    "game rulebook": r"\b(game|rulebook|round|players?|cards?|tokens?|board|robot|programming)\b",
+    "family history": r"\b(genealogy|biography|family|ancestor|descendant|born|married|children)\b",
+    "form": r"\b(form|application|signature|required|applicant)\b",
+}
+
+
 def document_kind(x) -> Column:
-    """A hint of the kind of document from its words, first match wins; 'records' for a year range; null otherwise."""
-    t = F.lower(_c(x))
+    """A hint of the kind of document from its words, first match wins; a range of years and two capitalised words make a family history; 'unknown' otherwise and for null."""
+    t = F.coalesce(_c(x), F.lit(""))
     kind = F.when(F.lit(False), "")
-    for label, pattern in (("minutes", r"\bminutes\b|\bpresent:"), ("invoice", r"\binvoice\b|\btotal due\b"), ("recipe", r"\brecipe\b|\bingredients\b"), ("letter", r"\bdear\b|\byours\b"), ("form", r"\bref:|\bform\b"), ("contents", r"\bcontents\b|\bindex\b")):
-        kind = kind.when(t.rlike(pattern), label)
-    return kind.when(t.rlike(r"\b1[5-9][0-9]{2}\s*[-–]\s*(1[5-9]|20)[0-9]{2}\b"), "records")
+    for label, pattern in KIND_WORDS.items():
+        kind = kind.when(t.rlike("(?i)" + pattern), label)
+    names = F.regexp_count(t, F.lit(r"\b[A-Z][a-zA-Z'’-]{2,}\b"))
+    return kind.when(t.rlike(r"\b[0-9]{4}\s*[-–]\s*[0-9]{4}\b") & (names >= 2), "family history").otherwise("unknown")
 
 
 def tokens_of(x, least: int = 1) -> Column:
@@ -206,19 +242,111 @@ def iou(a: Column, b: Column) -> Column:
     return F.when(union > 0, w * h / union).otherwise(0.0)
 
 
-#: Letters (with their accents) and digits of any script, and blanks of any kind, as both Python and Java read them.
-_WORD, _BLANK = r"\p{L}\p{M}\p{N}_", r"\s\p{Z}\x{85}"
-
-
 def corruption_score(x) -> Column:
-    """Capped sum of signs of a broken scan in a text of any language: odd characters, words without vowels, mixed digits and letters (0..1). Null counts as empty."""
+    """Capped sum of signs of a broken scan (0..1, four places): 0.3 for each bar before a number up to 0.8, 0.4 for words of more than 15 characters on average, 0.3 for less than 30 % letters, 0.2 for more than two runs of three odd signs. 0 for null and empty texts."""
     t = F.coalesce(_c(x), F.lit(""))
-    n = F.greatest(F.length(t), F.lit(1))
-    words = F.greatest(F.regexp_count(t, F.lit(rf"[^{_BLANK}]+")), F.lit(1))
-    odd = F.least(F.lit(0.5), F.regexp_count(t, F.lit(rf"[^{_WORD}{_BLANK}.,;:!?'\"()-]")) / n * 5)
-    mixed = F.least(F.lit(0.3), F.regexp_count(t, F.lit(r"[\p{L}\p{M}]+\p{Nd}+[\p{L}\p{M}]+")) / words * 3)
-    mute = F.least(F.lit(0.3), F.regexp_count(t, F.lit(rf"(?<![{_WORD}])[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{{4,}}(?![{_WORD}])")) / words * 3)
-    return F.least(F.lit(1.0), odd + mixed + mute)
+    words = F.regexp_extract_all(t, F.lit(rf"([^{_BLANK}]+)"), F.lit(1))
+    chars = F.aggregate(words, F.lit(0), lambda n, w: n + F.length(w))
+    letters = F.length(F.regexp_replace(t, r"\P{L}+", ""))
+    plain = F.length(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{_BLANK}]+", ""))
+    bars = F.least(0.3 * F.regexp_count(t, F.lit(r"\|\s*[0-9]+")), F.lit(0.8))
+    fused = F.when((F.size(words) > 0) & (chars > 15 * F.size(words)), 0.4).otherwise(0.0)
+    few = F.when((plain > 0) & (letters / F.greatest(plain, F.lit(1)) < 0.3), 0.3).otherwise(0.0)
+    odd = F.when(F.regexp_count(t, F.lit(rf"[^\p{{L}}\p{{M}}\p{{N}}_{_BLANK}.,!?]{{3,}}")) > 2, 0.2).otherwise(0.0)
+    return F.round(F.least(F.lit(1.0), bars + fused + few + odd), 4)
+
+
+def merge_claims(existing: Column, fresh: Column) -> Column:
+    """Claims struct<target, claim_type, module_id, evidence_path> in order of first occurrence, the existing ones first; two are the same if all four agree without blanks around; blank targets are dropped, null arrays count as empty."""
+    both = F.concat(F.coalesce(existing, F.slice(fresh, 1, 0)), F.coalesce(fresh, F.slice(existing, 1, 0)))
+    both = F.filter(both, lambda c: F.coalesce(strip(c.target), F.lit("")) != "")
+    key = lambda c: F.concat_ws("\x00", *[F.coalesce(strip(c[k]), F.lit("")) for k in ("target", "claim_type", "module_id", "evidence_path")])
+    return F.filter(both, lambda c, i: F.array_position(F.transform(both, key), key(c)) == i + 1)
+
+
+def relaxed_json(x, schema: str) -> Column:
+    """The first JSON object in a text, with or without a code fence around it, parsed by a schema; null if none parses."""
+    t = F.regexp_replace(strip(x), r"(?s)^```[A-Za-z]*\s*|\s*```$", "")
+    return F.from_json(F.regexp_extract(t, r"(?s)(\{.*\})", 1), schema, {"mode": "PERMISSIVE"})
+
+
+def repaired_turn(x) -> Column:
+    """'tum t0 12' as 'turn to 12': the first such phrase of a line whose verb is misread as tum or whose 'to' holds a zero or a lone capital O; capitals are kept."""
+    t = _c(x)
+    found = r"(?i)\b(turn|tum)\b(\s+)(to|t0)\b(\s+)([0-9]{1,4})\b"
+    verb, to, number = (F.regexp_extract(t, found, k) for k in (1, 3, 5))
+    bad = (F.lower(verb) == "tum") | to.contains("0") | to.rlike("^tO$")
+    fixed = F.concat(F.when(F.upper(verb) == verb, "TURN").when(F.substring(verb, 1, 1).rlike("[A-Z]"), "Turn").otherwise("turn"), F.lit(" "), F.when((F.upper(to) == to) & to.rlike("[A-Z]"), "TO").otherwise("to"), F.lit(" "), number)
+    at = F.regexp_instr(t, F.lit(found))
+    phrase = F.regexp_extract(t, found, 0)
+    return F.when((verb != "") & bad, F.concat(F.substring(t, F.lit(1), at - 1), fixed, F.substr(t, at + F.length(phrase)))).otherwise(t)
+
+
+def image_placeholders(html) -> Column:
+    """Images of a page's HTML, each as often as its data-count says: array<struct<alt, index, count>>."""
+    tags = F.regexp_extract_all(F.coalesce(_c(html), F.lit("")), F.lit(r"(?is)(<img\b[^>]*>)"), F.lit(1))
+
+    def one(tag: Column) -> Column:
+        n = F.greatest(F.coalesce(F.regexp_extract(tag, r'(?i)data-count\s*=\s*["\']?([0-9]{1,4})', 1).try_cast("int"), F.lit(1)), F.lit(1))
+        alt = collapse(F.regexp_extract(tag, r'(?i)\balt\s*=\s*"([^"]*)"', 1))
+        return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(alt.alias("alt"), i.alias("index"), n.alias("count")))
+
+    return F.flatten(F.transform(tags, one))
+
+
+def macro_section(page: Column, front: tuple[int, int] | None = None, game: tuple[int, int] | None = None, end: tuple[int, int] | None = None) -> Column:
+    """frontmatter, gameplay or endmatter: the first of the given page ranges that holds the page; null otherwise."""
+    kind = F.when(F.lit(False), "")
+    for name, r in (("frontmatter", front), ("gameplay", game), ("endmatter", end)):
+        if r is not None:
+            kind = kind.when(page.between(*r), name)
+    return kind
+
+
+def element_kind(block_type) -> Column:
+    """image, table, text or other from an element's type, tested in that order."""
+    t = F.lower(F.coalesce(_c(block_type), F.lit("")))
+    return F.when(t.contains("image") | (t == "figure"), "image").when(t.contains("table"), "table").when(t.rlike("title|text|listitem|header|footer|caption|pagebreak|unknown"), "text").otherwise("other")
+
+
+def number_mismatch(ident, x) -> Column:
+    """Whether a numeric id is not the number with which the text's first line begins."""
+    first = F.element_at(F.split(strip(F.coalesce(_c(x), F.lit(""))), r"\r\n|\r|\n"), 1)
+    return _c(ident).rlike("^[0-9]+$") & ~F.coalesce(F.regexp_extract(first, r"^\s*([0-9]{1,4})\b", 1) == _c(ident), F.lit(False))
+
+
+def title_score(text: Column, page: Column, position: Column) -> Column:
+    """How likely a heading is the document's title: early pages (10 each from page 6 down), early places (2 each from the tenth down), two to five words (20; one word 5; up to ten 10), capitals at the start and later (15), at most 50 (10) or 100 (5) characters. Add up and take the highest from 20 on."""
+    t = collapse(text)
+    words = F.size(F.split(t, " "))
+    length = F.when(words.between(2, 5), 20).when(words == 1, 5).when(words <= 10, 10).otherwise(0)
+    capitals = F.when(t.rlike(r"^\p{Lu}.*\p{Lu}"), 15).otherwise(0)
+    short = F.when(F.length(t) <= 50, 10).when(F.length(t) <= 100, 5).otherwise(0)
+    return (6 - page) * 10 + (10 - F.least(position, F.lit(9))) * 2 + length + capitals + short
+
+
+def splice_table(html: Column, table: Column) -> Column:
+    """HTML with its first table replaced; without one the new table goes before the first paragraph that says 'turn to N', else in front. A null or empty table changes nothing."""
+    h, new = F.coalesce(html, F.lit("")), F.coalesce(table, F.lit(""))
+    first = r"(?is)<table\b.*?</table>"
+    turn = r"(?is)<p>.*?turn\s+to\s+[0-9]{1,3}.*?</p>"
+    put = lambda at, gone: F.concat(F.substring(h, F.lit(1), at - 1), new, F.when(gone == 0, "\n").otherwise(""), F.substr(h, at + gone))
+    return F.when(new == "", h).when(h.rlike(first), put(F.regexp_instr(h, F.lit(first)), F.length(F.regexp_extract(h, first, 0)))).when(h.rlike(turn), put(F.regexp_instr(h, F.lit(turn)), F.lit(0))).otherwise(F.concat(new, F.lit("\n"), h))
+
+
+#: What an image shows, by words in its description, in order (fixed values of this engine).
+FIGURE_WORDS = {"setup_diagram": "setup|set up", "map_or_board": "map|board|layout|plan", "component_reference": "component|icon|token|piece", "card_reference": "card|sheet", "rule_example_diagram": "example|diagram|step|figure"}
+
+
+def figure_role(alt: Column, caption: Column, headings: Column) -> Column:
+    """struct<role, importance> of a figure: the first role whose words its description has (else instructional_figure); uncertain if its description is empty or generic, else essential."""
+    a, c = F.lower(collapse(F.coalesce(alt, F.lit("")))), F.lower(collapse(F.coalesce(caption, F.lit(""))))
+    told = F.concat_ws(" ", a, c, F.lower(F.coalesce(headings, F.lit(""))))
+    role = F.when(F.lit(False), "")
+    for name, words in FIGURE_WORDS.items():
+        role = role.when(told.rlike(words), name)
+    weak = a.isin("", "image", "illustration", "figure", "diagram") & (c == "")
+    return F.struct(role.otherwise("instructional_figure").alias("role"), F.when(weak, "uncertain").otherwise("essential").alias("importance"))
 
 
 def canonical_sha(*cols: Column | str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folium.functions import text as T
 from folium.operators import gates as Q
 from folium.operators import relational as R
-from folium.queries.document import _B, _P1, blocks, first_pages
+from folium.queries.document import _B, _BL, _P1, blocks, first_pages
 from folium.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,18 +97,12 @@ def q01_retention(spark, sf):
     return d.select("run_id", "page", "old_row_id", "new_row_id", "decision")
 
 
-@query(r"""SELECT doc_id, round(least(1.0::DOUBLE, least(0.5::DOUBLE, len(regexp_extract_all(t, '[^\w\s.,;:!?''"()-]')) / n * 5) + least(0.3::DOUBLE, len(regexp_extract_all(t, '[A-Za-z]+[0-9]+[A-Za-z]+')) / w * 3)
- + least(0.3::DOUBLE, len(regexp_extract_all(t, '\b[bcdfghjklmnpqrstvwxzBCDFGHJKLMNPQRSTVWXZ]{4,}\b')) / w * 3)), 6) AS score FROM (SELECT doc_id, t, greatest(length(t), 1) AS n, greatest(len(regexp_extract_all(t, '\S+')), 1) AS w FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\x00-\x7f“”]')))""")
+@query(r"""WITH w AS (SELECT doc_id, t, regexp_extract_all(t, '[^""" + _BL + r"""]+') AS ws, length(regexp_replace(t, '\P{L}+', '', 'g')) AS letters, length(regexp_replace(t, '[^\p{L}\p{N}""" + _BL + r"""]+', '', 'g')) AS plain FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+ SELECT doc_id, round(least(1.0::DOUBLE, least(0.3::DOUBLE * len(regexp_extract_all(t, '\|\s*[0-9]+')), 0.8::DOUBLE) + CASE WHEN len(ws) > 0 AND list_sum(list_transform(ws, lambda x: length(x))) > 15 * len(ws) THEN 0.4::DOUBLE ELSE 0 END
+  + CASE WHEN plain > 0 AND letters / greatest(plain, 1) < 0.3::DOUBLE THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN len(regexp_extract_all(t, '[^\p{L}\p{M}\p{N}_""" + _BL + r""".,!?]{3,}')) > 2 THEN 0.2::DOUBLE ELSE 0 END), 4) AS score FROM w""")
 def a15_corruption(spark, sf):
-    """Signs of a broken scan in plain English documents, where SQL can match the classes; a15_corruption_all has every document."""
-    d = table(spark, sf, "documents").where("lang = 'en'").where(~F.col("text").rlike(r"[^\x00-\x7f“”]"))
-    return d.select("doc_id", F.round(T.corruption_score("text"), 6).alias("score"))
-
-
-@query()
-def a15_corruption_all(spark, sf):
-    """Signs of a broken scan in every document, whatever its language and characters; a null text counts as empty."""
-    return table(spark, sf, "documents").select("doc_id", F.round(T.corruption_score("text"), 6).alias("score"))
+    """Signs of a broken scan in every document, whatever its language; a null text counts as empty."""
+    return table(spark, sf, "documents").select("doc_id", T.corruption_score("text").alias("score"))
 
 
 @query("""SELECT run_id, page, row_id FROM (SELECT run_id, page, row_id, CAST(coalesce(list_sum(list_transform(blocks, lambda b: length(b.text))), 0) AS BIGINT) AS chars FROM page_blocks) QUALIFY row_number() OVER (PARTITION BY run_id, page ORDER BY chars DESC, row_id) = 1""")
@@ -119,10 +113,17 @@ def a19_best_delivery(spark, sf):
     return R.argmax(p, ["run_id", "page"], ["chars"], "row_id").select("run_id", "page", "row_id")
 
 
-@query("SELECT row_id, array_to_string(list_filter(blocks, lambda b, i: list_position(list_transform(blocks, lambda c: c.block_type), b.block_type) = i)::VARCHAR[], '') IS NOT NULL AS ok, len(list_distinct(list_transform(blocks, lambda b: b.block_type))) AS kinds FROM page_blocks WHERE len(blocks) > 0")
-def a32_distinct_kinds(spark, sf):
-    p = table(spark, sf, "page_blocks").where(F.size("blocks") > 0)
-    return p.select("row_id", F.lit(True).alias("ok"), F.size(F.array_distinct(F.transform("blocks", lambda b: b.block_type))).cast("long").alias("kinds"))
+@query("""WITH c AS (SELECT run_id, entry_id, row_id, 0 AS fresh, 0 AS k, next_entry_id AS target, 'next' AS claim_type, kind, path FROM bundle_entries
+  UNION ALL SELECT run_id, entry_id, row_id, 1, 0, prev_entry_id, 'prev', kind, path FROM bundle_entries UNION ALL SELECT run_id, entry_id, row_id, 1, 1, next_entry_id, 'next', kind, path FROM bundle_entries),
+ f AS (SELECT *, row_number() OVER (PARTITION BY run_id, entry_id, trim(target), claim_type, coalesce(kind, ''), coalesce(path, '') ORDER BY fresh, row_id, k) AS n FROM c WHERE trim(coalesce(target, '')) <> '')
+ SELECT run_id, entry_id, string_agg(claim_type || ':' || target, ' ' ORDER BY fresh, row_id, k) AS claims FROM f WHERE n = 1 GROUP BY run_id, entry_id""")
+def a32_merged_claims(spark, sf):
+    """Claims that each entry's deliveries make of their neighbours, merged in order of first occurrence."""
+    claim = lambda kind: F.struct(F.col(f"{kind}_entry_id").alias("target"), F.lit(kind).alias("claim_type"), F.col("kind").alias("module_id"), F.col("path").alias("evidence_path"))
+    e = table(spark, sf, "bundle_entries").select("run_id", "entry_id", "row_id", F.array(claim("next")).alias("old"), F.array(claim("prev"), claim("next")).alias("new"))
+    every = lambda c: F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("row_id", c))), lambda x: x[c]))
+    g = e.groupBy("run_id", "entry_id").agg(every("old").alias("old"), every("new").alias("new")).select("run_id", "entry_id", T.merge_claims(F.col("old"), F.col("new")).alias("c")).where(F.size("c") > 0)
+    return g.select("run_id", "entry_id", F.array_join(F.transform("c", lambda x: F.concat(x.claim_type, F.lit(":"), x.target)), " ").alias("claims"))
 
 
 @query(r"""WITH p AS (SELECT row_id, list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3)) AS s,

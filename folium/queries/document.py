@@ -102,17 +102,19 @@ def f23_toc_entries(spark, sf):
     return b.select("row_id", "block_order", "t.title", "t.page")
 
 
-@query(r"""SELECT doc_id, CASE WHEN regexp_matches(t, '\bminutes\b|\bpresent:') THEN 'minutes' WHEN regexp_matches(t, '\binvoice\b|\btotal due\b') THEN 'invoice' WHEN regexp_matches(t, '\brecipe\b|\bingredients\b') THEN 'recipe'
- WHEN regexp_matches(t, '\bdear\b|\byours\b') THEN 'letter' WHEN regexp_matches(t, '\bref:|\bform\b') THEN 'form' WHEN regexp_matches(t, '\bcontents\b|\bindex\b') THEN 'contents'
- WHEN regexp_matches(t, '\b1[5-9][0-9]{2}\s*[-–]\s*(1[5-9]|20)[0-9]{2}\b') THEN 'records' END AS kind FROM (SELECT doc_id, lower(text) AS t FROM documents)""")
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(t, '(?i)\b(game|rulebook|round|players?|cards?|tokens?|board|robot|programming)\b') THEN 'game rulebook'
+ WHEN regexp_matches(t, '(?i)\b(genealogy|biography|family|ancestor|descendant|born|married|children)\b') THEN 'family history' WHEN regexp_matches(t, '(?i)\b(form|application|signature|required|applicant)\b') THEN 'form'
+ WHEN regexp_matches(t, '\b[0-9]{4}\s*[-–]\s*[0-9]{4}\b') AND len(regexp_extract_all(t, '\b[A-Z][a-zA-Z''’-]{2,}\b')) >= 2 THEN 'family history' ELSE 'unknown' END AS kind FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)""")
 def f25_document_kind(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.document_kind("text").alias("kind"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
- w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '[^A-Za-z]+'), lambda x: x <> '') AS ws, length(regexp_replace(t, '\s+', '', 'g')) AS vis FROM d)
- SELECT doc_id, round(CASE WHEN len(ws) = 0 THEN 0.0 ELSE least(greatest(0.5::DOUBLE * (CASE WHEN vis > 0 THEN length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / vis ELSE 0 END)
-  + 0.3::DOUBLE * (len(list_filter(ws, lambda x: regexp_matches(x, '[aeiouAEIOU]'))) / len(ws)) + 0.2::DOUBLE * least(len(ws) / 40.0::DOUBLE, 1.0::DOUBLE), 0), 1) END, 6) AS quality FROM w""")
+_BL = r"\s\p{Z}\x{85}\x{1c}-\x{1f}"
+
+
+@query(r"""WITH w AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z][A-Za-z''’-]{2,}') AS ws, length(regexp_replace(t, '[""" + _BL + r"""]+', '', 'g')) AS vis FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))
+ SELECT doc_id, round(CASE WHEN len(ws) = 0 THEN 0.0 ELSE least(greatest(0.5::DOUBLE * length(regexp_replace(t, '\P{L}+', '', 'g')) / greatest(vis, 1)
+  + 0.3::DOUBLE * (len(list_filter(ws, lambda x: regexp_matches(x, '[aeiouyAEIOUY]'))) / len(ws)) + 0.2::DOUBLE * least(len(ws) / 40.0::DOUBLE, 1.0::DOUBLE), 0), 1) END, 6) AS quality FROM w""")
 def f26_text_quality(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.round(T.text_quality("text"), 6).alias("quality"))
 
@@ -133,8 +135,8 @@ def f29_input_kind(spark, sf):
     return table(spark, sf, "bundle_runs").select("run_id", T.input_kind("source_artifact").alias("kind"), T.private_text("source_artifact").alias("shown"))
 
 
-@query(r"""SELECT row_id, coalesce(length(t) >= 20 AND NOT ends_with(t, '...') AND t[-1] NOT IN ('.', '!', '?', '"', '''', ';', ':', ')', '”', '’') AND NOT regexp_matches(t[-1], '[A-Z]'), false) AS truncated
- FROM (SELECT row_id, rtrim(text) AS t FROM preview_blocks)""")
+@query(r"""SELECT row_id, coalesce(length(t) >= 50 AND NOT ends_with(t, '...') AND t[-1] NOT IN ('.', '!', '?', ';', chr(39)) AND NOT regexp_matches(t[-1], '\p{Lu}'), false) AS truncated
+ FROM (SELECT row_id, regexp_replace(text, '^[""" + _BL + r"""]+|[""" + _BL + r"""]+$', '', 'g') AS t FROM preview_blocks)""")
 def f30_truncated(spark, sf):
     return table(spark, sf, "preview_blocks").select("row_id", T.looks_truncated("text").alias("truncated"))
 
