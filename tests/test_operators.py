@@ -22,7 +22,20 @@ def test_text_expressions(spark):
     assert one(spark, T.turn_targets("t"), t="Turn to 12, or turn  to 7; turn to 12.") == [12, 7]
     assert one(spark, T.toc_entry("t"), t="The Mill ..... 14").asDict() == {"title": "The Mill", "page": 14}
     assert one(spark, T.toc_entry("t"), t="No entry here") is None
-    assert [tuple(r) for r in one(spark, T.key_values("t"), t="SKILL 11 STAMINA = 9")] == [("SKILL", "11"), ("STAMINA", "9")]
+    kv = lambda t: (lambda r: r and (r.entity, [tuple(x) for x in r.pairs]))(one(spark, T.key_values("t"), t=t))
+    assert kv("MANTICORE  SKILL 11  STAMINA 11") == ("MANTICORE", [("SKILL", 11), ("STAMINA", 11)])
+    assert kv("Stamina = 12") == (None, [("STAMINA", 12)]) and kv("Gold pieces:") == (None, [("GOLD PIECES", None)]) and kv("the SKILL of a smith") is None
+    assert one(spark, T.document_kind("t"), t="A round of cards") == "game rulebook" and one(spark, T.document_kind("t"), t="Anna Bell 1841-1902") == "family history" and one(spark, T.document_kind("t"), t="Anna 1841-1902") == "unknown"
+    assert one(spark, T.looks_truncated("t", 10), t="A fragment without punctuation") and not one(spark, T.looks_truncated("t", 10), t="This sentence is complete.") and not one(spark, T.looks_truncated("t", 10), t="Short")
+    assert abs(one(spark, T.text_quality("t"), t="my try") - (0.5 + 0.3 + 0.2 / 40)) < 1e-9 and one(spark, T.text_quality("t"), t="a b 12") == 0
+    assert one(spark, T.corruption_score("t"), t="| 4 and |42") == 0.6 and one(spark, T.corruption_score("t"), t="x" * 40) == 0.4 and one(spark, T.corruption_score("t"), t=None) == 0
+    assert one(spark, T.repaired_turn("t"), t="Then tum t0 12 or tum to 9") == "Then turn to 12 or tum to 9" and one(spark, T.repaired_turn("t"), t="TUM TO 7") == "TURN TO 7" and one(spark, T.repaired_turn("t"), t="Turn to 8") == "Turn to 8"
+    assert [tuple(r) for r in one(spark, T.image_placeholders("t"), t='<p><img alt="a  map" data-count="2"><IMG></p>')] == [("a map", 1, 2), ("a map", 2, 2), ("", 1, 1)]
+    assert one(spark, T.splice_table(F.col("t"), F.lit("<table>n</table>")), t="a<table>o</table>b") == "a<table>n</table>b"
+    assert one(spark, T.splice_table(F.col("t"), F.lit("<table>n</table>")), t="a<p>Turn to 4.</p>") == "a<table>n</table>\n<p>Turn to 4.</p>" and one(spark, T.splice_table(F.col("t"), F.lit("T")), t="x") == "T\nx"
+    assert one(spark, T.number_mismatch(F.lit("12"), F.col("t")), t="13 The mill") and not one(spark, T.number_mismatch(F.lit("12"), F.col("t")), t="12\nThe mill") and not one(spark, T.number_mismatch(F.lit("x"), F.col("t")), t="y")
+    assert one(spark, T.relaxed_json("t", "a int"), t='```json\n{"a": 3}\n```').a == 3 and one(spark, T.relaxed_json("t", "a int"), t="none") is None
+    assert one(spark, T.macro_section(F.col("t").cast("int"), (1, 4), (5, 90), (91, 99)), t="5") == "gameplay"
     assert one(spark, T.fix_numeric_token("t"), t="1O3.") == "103" and one(spark, T.fix_numeric_token("t"), t="house") == "house"
     assert one(spark, T.leading_int(F.col("t")), t="12L") == 12 and one(spark, T.whole_int("t"), t="12L") is None
     assert one(spark, T.is_section_number("t"), t=" 4O ") and not one(spark, T.is_section_number("t"), t="house")
@@ -34,14 +47,22 @@ def test_text_expressions(spark):
     assert s.collapsed and s.turns == 1
     assert one(spark, T.private_text("t"), t="see /home/x/y") is None and one(spark, T.private_text("t"), t="a note") == "a note"
     assert one(spark, T.chunks("t", 4), t="abcdef\n\ngh") == ["abcd", "ef", "gh"]
-    assert 0 <= one(spark, T.corruption_score("t"), t="xx12yy bcdfg") <= 1
 
 
 def test_html():
     assert H.html_text("<h1>A</h1><p>b <b>c</b></p><table><tr><td>1</td><td>2</td></tr></table><img alt='x'><script>no</script>") == "A\nb c\n1 2\n[image: x]"
     rows = H.html_blocks("<h1>T</h1><p>see <a href='#1'>one</a></p><p> </p><img alt='pic'>")
-    assert [(r["block_type"], r["text"], r["block_order"]) for r in rows] == [("h1", "T", 1), ("/h1", "", 2), ("p", "see one", 3), ("/p", "", 4), ("p", "", 5), ("/p", "", 6), ("img", "pic", 7)]
+    assert [(r["block_type"], r["text"], r["block_order"]) for r in rows] == [("h1", "T", 1), ("/h1", "", 2), ("p", 'see <a href="#1"> one </a>', 3), ("/p", "", 4), ("p", "", 5), ("img", "pic", 6)]
+    assert H.html_blocks("<p></p>\n<p class=\"page-number\">7</p>\n", True) == [{"block_type": "p", "text": "7", "block_order": 1, "attrs": {"class": "page-number"}}, {"block_type": "/p", "text": "", "block_order": 2, "attrs": None}]
+    page = """<p class="running-head">6-8</p>\n<h2>6</h2>\n<p>First paragraph.</p>\n<dl><dt>MANTICORE</dt><dd>SKILL 11</dd><dd>STAMINA 11</dd></dl>\n<p>If you win, turn to 364.</p>
+<table><caption>Choices</caption><thead><tr><th>Roll</th><th>Go to</th></tr></thead><tbody><tr><td>1-2</td><td>10</td></tr></tbody></table>\n<img alt="Illustration of a creature.">"""
+    got = H.html_blocks(page, True)
+    kinds = "p /p h2 /h2 p /p dl dt /dt dd /dd dd /dd /dl p /p table caption /caption thead tr th /th th /th /tr /thead tbody tr td /td td /td /tr /tbody /table img".split()
+    assert [r["block_type"] for r in got] == kinds and [r["block_order"] for r in got] == list(range(1, 38))
+    assert [r["text"] for r in got if r["text"]] == ["6-8", "6", "First paragraph.", "MANTICORE", "SKILL 11", "STAMINA 11", "If you win, turn to 364.", "Choices", "Roll", "Go to", "1-2", "10", "Illustration of a creature."]
+    assert [r["attrs"] for r in got if r["attrs"]] == [{"class": "running-head"}, {"alt": "Illustration of a creature."}]
     assert H.clean_html("<p class='x' onclick='y'>a &lt; b<font>c</font> <a href='http://x'>d</a><a href='#e'>e</a></p>") == "<p>a &lt; bc <a>d</a><a href=\"#e\">e</a></p>"
+    assert H.clean_html("<p>a<br>b</p>  <img data-count='2' src='x'>") == '<p>a<br>b</p>\n<img alt="" data-count="2">'
 
 
 def test_greedy_non_overlap_equals_fold(spark):
