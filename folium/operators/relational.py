@@ -38,6 +38,54 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFr
     return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+#: Positions of a key that one window sees; neighbours and sums beyond come from one summary row a block.
+BLOCK = 4096
+
+
+def _blocks(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    return df.withColumn("_blk", F.shiftright(F.col(order).cast("long"), BLOCK.bit_length() - 1))
+
+
+def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on keys that may be null; the right side's keys go."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, reduce(lambda a, b: a & b, on), how).drop(*[f"_r_{k}" for k in keys])
+
+
+def with_neighbours(df: DataFrame, keys: list[str], order: str, values: list[str], ties: tuple[str, ...] = (), before: bool = True, after: bool = True) -> DataFrame:
+    """Adds prev and next: structs of values of the rows before and after within the key, by a whole number (not null) and ties.
+
+    A window sees one block of positions; the rows at its edges get their neighbours
+    from the blocks' first and last rows, one summary row a block, so a key that holds
+    much of the table is spread over many tasks.
+    """
+    d = _blocks(df, keys, order)
+    by = F.struct(F.col(order).alias("o"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
+    item = F.struct(*values)
+    w = Window.partitionBy(*keys, "_blk").orderBy(order, *ties)
+    out = d.withColumn("_in", F.struct(F.lag(item).over(w).alias("p"), F.lead(item).over(w).alias("n")))
+    ends = d.groupBy(*keys, "_blk").agg(F.min_by(item, by).alias("_a"), F.max_by(item, by).alias("_z"))
+    far = Window.partitionBy(*keys).orderBy("_blk")
+    ends = ends.select(*keys, "_blk", F.lag("_z").over(far).alias("_fp"), F.lead("_a").over(far).alias("_fn"))
+    out = _same(out, ends, [*keys, "_blk"])
+    if before:
+        out = out.withColumn("prev", F.coalesce("_in.p", "_fp"))
+    if after:
+        out = out.withColumn("next", F.coalesce("_in.n", "_fn"))
+    return out.drop("_in", "_fp", "_fn", "_blk")
+
+
+def running_sum(df: DataFrame, keys: list[str], order: str, value: Column, name: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Adds the sum of a value over the key's rows up to each row, by a whole number (not null) and ties; blocks as in with_neighbours."""
+    d = _blocks(df, keys, order).withColumn("_v", value)
+    own = F.sum("_v").over(Window.partitionBy(*keys, "_blk").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0))
+    sums = d.groupBy(*keys, "_blk").agg(F.sum("_v").alias("_s"))
+    base = F.sum("_s").over(Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
+    sums = sums.select(*keys, "_blk", F.coalesce(base, F.lit(0)).alias("_base"))
+    return _same(d.withColumn("_own", own), sums, [*keys, "_blk"]).withColumn(name, F.col("_own") + F.col("_base")).drop("_v", "_own", "_base", "_blk")
+
+
 def explode_range(df: DataFrame, start: str, end: str, name: str = "page", most: int = 100_000) -> DataFrame:
     """One row per position of an inclusive range; ranges that are null, reversed or longer than `most` are left out (see range_join for those)."""
     ok = F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(start) <= F.col(end)) & (F.col(end) - F.col(start) < most)
