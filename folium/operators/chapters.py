@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,20 +68,20 @@ def pages_of_portions(pages: DataFrame, portions: DataFrame, run: str = "run_id"
     return all_.join(best, [run, "portion", "way"]).drop("way").distinct()
 
 
-def words(text: str | None) -> list[str]:
-    return re.sub(r"[^\w\s]", " ", " ".join((text or "").split()).casefold().replace("’", "'").replace("`", "'")).split()
+@lru_cache(1 << 16)
+def words(text: str | None) -> tuple[str, ...]:
+    return tuple(re.sub(r"[^\w\s]", " ", " ".join((text or "").split()).casefold().replace("’", "'").replace("`", "'")).split())
+
+
+@lru_cache(1 << 20)
+def _meets(u: str, v: str) -> bool:
+    return u == v or (min(len(u), len(v)) > 1 and (u.startswith(v) or v.startswith(u) or SequenceMatcher(None, u, v).ratio() >= 0.83))
 
 
 def related(a: str | None, b: str | None) -> bool:
     """Every word of the shorter title meets one of the longer: equal, one the other's beginning, or alike by 0.83."""
     x, y = sorted((words(a), words(b)), key=len)
-    if not x:
-        return False
-
-    def meets(u: str, v: str) -> bool:
-        return u == v or (min(len(u), len(v)) > 1 and (u.startswith(v) or v.startswith(u) or SequenceMatcher(None, u, v).ratio() >= 0.83))
-
-    return all(any(meets(u, v) for v in y) for u in x)
+    return bool(x) and all(any(_meets(u, v) for v in y) for u in x)
 
 
 class Assembler:
@@ -289,6 +290,6 @@ def placed_images(tags: list[str], crops: list[tuple[str, str]], least: float =
         a = words(alt)
         like = [(len(set(a) & set(words(d))) / max(1, len(set(a) | set(words(d)))), -i) for i, (_, d) in enumerate(free)]
         best = max(like, default=(0.0, 0))
-        take = -best[1] if best[0] >= least else 0 if free and a in ([], ["image"], ["illustration"]) else None
+        take = -best[1] if best[0] >= least else 0 if free and a in ((), ("image",), ("illustration",)) else None
         out.append(None if take is None else free.pop(take)[0])
     return out

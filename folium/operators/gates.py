@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folium.operators.relational import with_neighbours
+
 
 def decide(existing: DataFrame, candidate: DataFrame, key: list[str], rules: list[tuple[str, Column]]) -> DataFrame:
     """Existing left-joined with its candidate and a reason: the first rule (reason, condition that rejects) that holds, 'accepted' if none does, 'no_candidate' without one.
@@ -25,9 +27,18 @@ def round_robin(df: DataFrame, group: str, order: list[Column], name: str = "tur
 
 
 def context(df: DataFrame, keys: list[str], order: str, value: str, before: int, after: int, name: str = "context") -> DataFrame:
-    """The values of the rows around each row."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-before, after)
-    return df.withColumn(name, F.collect_list(value).over(w))
+    """The values of the rows around each row, itself included; one step to the neighbours for each row of the longer side."""
+    d = df.withColumn("_b", F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")).withColumn("_a", F.col("_b"))
+    d = d.withColumn("_p", F.col(value)).withColumn("_n", F.col(value))
+    for k in range(max(before, after)):
+        d = with_neighbours(d, keys, order, ["_p", "_n"])
+        p, n = F.col("prev._p"), F.col("next._n")
+        d = d.withColumn("_p", p).withColumn("_n", n).drop("prev", "next")
+        if k < before:
+            d = d.withColumn("_b", F.when(F.col("_p").isNotNull(), F.concat(F.array("_p"), "_b")).otherwise(F.col("_b")))
+        if k < after:
+            d = d.withColumn("_a", F.when(F.col("_n").isNotNull(), F.concat("_a", F.array("_n"))).otherwise(F.col("_a")))
+    return d.withColumn(name, F.concat("_b", F.array(value), "_a")).drop("_b", "_a", "_p", "_n")
 
 
 def conformance(findings: DataFrame, keys: list[str], level: str = "level") -> DataFrame:

@@ -8,30 +8,38 @@ from pyspark.sql import functions as F
 from folium.runtime import materialize
 
 
-def reachable(edges: DataFrame, starts: DataFrame, scope: str = "scope", src: str = "src", dst: str = "dst", depth: int = 10_000) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame, scope: str = "scope", src: str = "src", dst: str = "dst", wide: int = 4) -> DataFrame:
     """Nodes that can be reached from the starts of the same scope, starts included: scope, node, hops (fewest).
 
-    Breadth first: each round joins only the last frontier and drops what is
-    known, so cycles end; every round is written to the shared folder.
+    Links are doubled: in round k they span 2^k steps, and one join takes all nodes
+    known so far that far on, so a chain of n links takes log2(n) rounds; cycles end
+    as nothing new comes.  Where branches make the doubled links more than `wide`
+    times the links, single steps go on from the last nodes found (breadth first).
+    Every round is written to the shared folder; no length is left out.
     """
-    e = materialize(edges.select(F.col(scope).alias("scope"), F.col(src).alias("src"), F.col(dst).alias("dst")).distinct(), "links")
-    seen = materialize(starts.select(F.col(scope).alias("scope"), F.col("node"), F.lit(0).alias("hops")).distinct(), "seen")
-    front, parts = seen, [seen]
-    for hop in range(1, depth + 1):
-        step = front.join(e, (front.scope == e.scope) & (front.node == e.src)).select(e.scope, e.dst.alias("node")).distinct()
-        known = parts[0]
-        for p in parts[1:]:
-            known = known.unionByName(p)
-        front = materialize(step.join(known, ["scope", "node"], "left_anti").withColumn("hops", F.lit(hop)), "frontier")
-        if front.isEmpty():
+    e = materialize(edges.select(F.col(scope).alias("scope"), F.col(src).alias("src"), F.col(dst).alias("dst")).where(F.col("src").isNotNull() & F.col("dst").isNotNull()).distinct(), "links")
+    seen = materialize(starts.select(F.col(scope).alias("scope"), F.col("node"), F.lit(0).cast("long").alias("hops")).distinct(), "seen")
+    few = max(1, e.count())
+    jump, span = e, 1
+    while True:
+        on = seen.join(jump, (seen.scope == jump.scope) & (seen.node == jump.src)).select(seen.scope, jump.dst.alias("node"), (seen.hops + span).alias("hops"))
+        fresh = on.join(seen.select("scope", "node"), ["scope", "node"], "left_anti").groupBy("scope", "node").agg(F.min("hops").alias("hops"))
+        fresh = materialize(fresh, "fresh")
+        if fresh.isEmpty():
+            return seen
+        seen = materialize(seen.unionByName(fresh), "seen")
+        a, b = jump.alias("a"), jump.alias("b")
+        twice = materialize(a.join(b, (F.col("a.scope") == F.col("b.scope")) & (F.col("a.dst") == F.col("b.src"))).select("a.scope", "a.src", "b.dst").distinct(), "jumps")
+        if twice.count() > wide * few:
             break
-        parts.append(front)
-        if len(parts) > 16:  # keep the plan short
-            parts = [materialize(known.unionByName(front), "seen")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        jump, span = twice, 2 * span
+    front = seen
+    while True:
+        step = front.join(e, (front.scope == e.scope) & (front.node == e.src)).select(front.scope, e.dst.alias("node"), (front.hops + 1).alias("hops"))
+        front = materialize(step.join(seen.select("scope", "node"), ["scope", "node"], "left_anti").groupBy("scope", "node").agg(F.min("hops").alias("hops")), "frontier")
+        if front.isEmpty():
+            return seen
+        seen = materialize(seen.unionByName(front), "seen")
 
 
 def dangling(edges: DataFrame, nodes: DataFrame, scope: str = "scope", dst: str = "dst") -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folium.operators.relational import with_neighbours
+
 
 def _rule(c: Column | str) -> Column:
     return F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False))
@@ -60,5 +62,5 @@ def order_gaps(entries: DataFrame, key: str, order: str) -> DataFrame:
 
 def monotonic_breaks(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """Rows whose value is below that of the row before: keys, order, value, before."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.where(F.col(value).isNotNull()).withColumn("before", F.lag(value).over(w)).where(F.col("before") > F.col(value)).select(*keys, order, value, "before")
+    d = with_neighbours(df.where(F.col(value).isNotNull()), keys, order, [value], after=False).withColumn("before", F.col(f"prev.{value}"))
+    return d.where(F.col("before") > F.col(value)).select(*keys, order, value, "before")

@@ -54,7 +54,7 @@ def c20_repeated_edges(spark, sf):
 def q05_table_cluster(spark, sf):
     """The best stretch of successive pages with tables of each run."""
     p = blocks(spark, sf).where(F.col("block_type").isin("td", "th")).groupBy("run_id", "page").agg(F.count("*").alias("n"))
-    g = R.islands(p.withColumn("b", F.lag("page").over(W.partitionBy("run_id").orderBy("page"))), ["run_id"], [F.col("page")], F.col("page") != F.col("b") + 1)
+    g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["page"], after=False), ["run_id"], "page", F.col("page") != F.col("prev.page") + 1)
     c = g.groupBy("run_id", "island").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.max("n").alias("most"), F.sum("n").alias("cells"), F.count("*").alias("pages")).drop("island")
     return R.first_per_key(c, ["run_id"], [-F.col("most"), -F.col("cells"), -F.col("pages"), F.col("first_page")])
 
@@ -155,10 +155,9 @@ def w05_heading_portions(spark, sf):
     """Portions from the first heading of each page; equal titles that follow each other are one."""
     b = blocks(spark, sf).where(F.col("block_type").isin("h1", "h2")).withColumn("title", F.lower(F.trim("text"))).where("title != ''").where(~F.col("title").rlike("^[0-9]+$"))
     f = R.first_per_key(b.select("run_id", "page", "row_id", "block_order", "title"), ["run_id", "page"], [F.col("row_id"), F.col("block_order")])
-    w = W.partitionBy("run_id").orderBy("page")
-    k = f.withColumn("before", F.lag("title").over(w)).where("before IS NULL OR before != title")
+    k = R.with_neighbours(f, ["run_id"], "page", ["title"], after=False).where(F.col("prev.title").isNull() | (F.col("prev.title") != F.col("title"))).drop("prev")
     last = table(spark, sf, "page_blocks").groupBy("run_id").agg(F.max("page").alias("last_page"))
-    return R.next_starts(k.join(last, "run_id"), ["run_id"], "page", [F.col("page")], F.col("last_page"), "page_stop").select("run_id", F.col("page").alias("page_start"), "page_stop", "title")
+    return R.next_starts(k.join(last, "run_id"), ["run_id"], "page", F.col("last_page"), "page_stop").select("run_id", F.col("page").alias("page_start"), "page_stop", "title")
 
 
 @query(f"""WITH {_P1}, c AS (SELECT run_id, page, page_number, row_number() OVER (PARTITION BY run_id, page_number ORDER BY page) AS n FROM p1),
@@ -167,20 +166,8 @@ def w19_logical_order(spark, sf):
     """Pages by printed number, unnumbered ones last; a number seen before on a page is marked."""
     p = first_pages(spark, sf).select("run_id", "page", "page_number")
     p = p.withColumn("n", F.row_number().over(W.partitionBy("run_id", "page_number").orderBy("page")))
-    o = F.row_number().over(W.partitionBy("run_id").orderBy(F.asc_nulls_last("page_number"), F.col("page"))).cast("long")
-    return p.select("run_id", "page", o.alias("logical"), (F.col("page_number").isNotNull() & (F.col("n") > 1)).alias("repeated"))
-
-
-@query(f"""WITH {_P1}, t AS (SELECT run_id, page, list_filter(blocks, lambda b: b.text <> '' AND b.block_type IN ('p', 'li', 'td')) AS x FROM p1 WHERE len(blocks) > 0),
- s AS (SELECT run_id, page, x[len(x)].text AS last_text, x[1].text AS first_text FROM t WHERE len(x) > 0), l AS (SELECT run_id, page, first_text, lag(last_text) OVER (PARTITION BY run_id ORDER BY page) AS before, lag(page) OVER (PARTITION BY run_id ORDER BY page) AS from_page FROM s)
- SELECT run_id, from_page, page FROM l WHERE from_page = page - 1 AND NOT regexp_matches(trim(before), '[.!?”"]$') AND regexp_matches(first_text, '^[a-z]')""")
-def w20_page_breaks(spark, sf):
-    """Pages whose text runs on from the page before: no sentence end there, a small letter here."""
-    x = F.filter("blocks", lambda b: (b.text != "") & b.block_type.isin("p", "li", "td"))
-    s = first_pages(spark, sf).where(F.size("blocks") > 0).select("run_id", "page", x.alias("x")).where(F.size("x") > 0).select("run_id", "page", F.element_at("x", -1).text.alias("last_text"), F.element_at("x", 1).text.alias("first_text"))
-    w = W.partitionBy("run_id").orderBy("page")
-    s = s.select("run_id", "page", "first_text", F.lag("last_text").over(w).alias("before"), F.lag("page").over(w).alias("from_page"))
-    return s.where(F.col("from_page") == F.col("page") - 1).where(~F.trim("before").rlike('[.!?”"]$') & F.col("first_text").rlike("^[a-z]")).select("run_id", "from_page", "page")
+    p = R.running_sum(p.withColumn("place", F.coalesce("page_number", F.lit(1 << 60))), ["run_id"], "place", F.lit(1), "logical", ("page",))
+    return p.select("run_id", "page", F.col("logical").cast("long").alias("logical"), (F.col("page_number").isNotNull() & (F.col("n") > 1)).alias("repeated"))
 
 
 @query(f"""WITH {_B}, t AS (SELECT run_id, page, row_id, block_order, CASE WHEN block_type = 'h1' THEN 1 ELSE 0 END AS title FROM b WHERE NOT starts_with(block_type, '/')), g AS (SELECT *, sum(title) OVER (PARTITION BY run_id ORDER BY page, row_id, block_order ROWS UNBOUNDED PRECEDING) AS slice FROM t)
@@ -188,8 +175,7 @@ def w20_page_breaks(spark, sf):
 def w21_title_slices(spark, sf):
     """Slices of a run at its titles; what stands before the first is slice 0."""
     b = blocks(spark, sf).where(~F.col("block_type").startswith("/"))
-    w = W.partitionBy("run_id").orderBy("page", "row_id", "block_order").rowsBetween(W.unboundedPreceding, 0)
-    g = b.withColumn("slice", F.sum(F.when(F.col("block_type") == "h1", 1).otherwise(0)).over(w))
+    g = R.running_sum(b, ["run_id"], "page", F.when(F.col("block_type") == "h1", 1).otherwise(0), "slice", ("row_id", "block_order"))
     return g.groupBy("run_id", "slice").agg(F.count("*").alias("blocks"), F.min("page").alias("first_page"), F.max("page").alias("last_page"))
 
 

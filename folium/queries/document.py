@@ -195,10 +195,11 @@ def j04_backfill_stubs(spark, sf):
     return table(spark, sf, "provenance_blocks").where("entry_id IS NOT NULL").select("run_id", "entry_id").distinct().join(e, ["run_id", "entry_id"], "left_anti").withColumn("kind", F.lit("stub"))
 
 
-@query("""WITH v AS (SELECT DISTINCT run_id, page FROM page_blocks WHERE page IS NOT NULL), g AS (SELECT *, lead(page) OVER (PARTITION BY run_id ORDER BY page) AS n FROM v)
- SELECT run_id, unnest(range(page + 1, n)) AS page FROM g WHERE n > page + 1""")
+@query("""WITH v AS (SELECT DISTINCT run_id, page_number AS page FROM page_blocks WHERE page_number IS NOT NULL), g AS (SELECT *, lead(page) OVER (PARTITION BY run_id ORDER BY page) AS n FROM v)
+ SELECT run_id, page + 1 AS first, n - 1 AS last FROM g WHERE n > page + 1""")
 def j05_missing_pages(spark, sf):
-    return R.missing_of_range(table(spark, sf, "page_blocks"), ["run_id"], "page")
+    """Ranges of printed numbers that no page of the run has."""
+    return R.missing_ranges(table(spark, sf, "page_blocks"), ["run_id"], "page_number").select("run_id", "first", "last")
 
 
 @query("""SELECT run_id, entry_id, row_id, title FROM bundle_entries WHERE entry_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY run_id, entry_id ORDER BY CASE WHEN deleted_at IS NULL THEN 0 ELSE 1 END, row_id) = 1""")
@@ -214,13 +215,11 @@ def j07_escalated_override(spark, sf):
     return R.prefer([p.where(up), p.where(~up)], ["run_id", "page"], "row_id").select("run_id", "page", "row_id")
 
 
-@query("""WITH v AS (SELECT DISTINCT run_id, page FROM page_blocks WHERE page IS NOT NULL), g AS (SELECT *, lead(page) OVER (PARTITION BY run_id ORDER BY page) AS n FROM v)
- SELECT run_id, unnest(range(page + 1, n)) AS page, page AS below, n AS above FROM g WHERE n > page + 1""")
+@query("""WITH v AS (SELECT DISTINCT run_id, source_page_number AS page FROM provenance_blocks WHERE source_page_number IS NOT NULL), g AS (SELECT *, lead(page) OVER (PARTITION BY run_id ORDER BY page) AS n FROM v)
+ SELECT run_id, page AS below, page + 1 AS first, n - 1 AS last, n AS above FROM g WHERE n > page + 1""")
 def j08_nearest_pages(spark, sf):
-    """Each missing page with the nearest present pages below and above."""
-    v = table(spark, sf, "page_blocks").where("page IS NOT NULL").select("run_id", "page").distinct()
-    g = v.withColumn("above", F.lead("page").over(W.partitionBy("run_id").orderBy("page"))).where("above > page + 1")
-    return g.select("run_id", F.explode(F.expr("sequence(page + 1, above - 1)")).alias("n"), F.col("page").alias("below"), "above").withColumnRenamed("n", "page")
+    """Each range of pages without provenance with the nearest pages that have some, below and above."""
+    return R.missing_ranges(table(spark, sf, "provenance_blocks"), ["run_id"], "source_page_number")
 
 
 @query(r"""WITH p AS (SELECT row_id, run_id, page, list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(array_to_string(list_transform(blocks, lambda b: b.text), ' ')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3))) AS t FROM page_blocks WHERE len(blocks) > 0)
@@ -272,7 +271,7 @@ def a03_best_with_sources(spark, sf):
     return p.groupBy("run_id", "page_start", "page_end").agg(best.alias("b"), F.array_join(F.array_sort(F.collect_set("module_id")), ",").alias("modules")).select("run_id", "page_start", "page_end", "b.row_id", "b.confidence", "modules")
 
 
-@query("""WITH g AS (SELECT * FROM portions WHERE run_id IS NOT NULL AND page_start <= page_end AND page_end - page_start < 100000),
+@query("""WITH g AS (SELECT * FROM portions WHERE run_id IS NOT NULL AND page_start <= page_end),
  f AS (SELECT DISTINCT run_id, unnest(range(page_start, page_end + 1)) AS p FROM g WHERE module_id IS DISTINCT FROM 'coarse_segment_patterns_v1'),
  c AS (SELECT row_id, run_id, unnest(range(page_start, page_end + 1)) AS p FROM g WHERE module_id = 'coarse_segment_patterns_v1')
  SELECT row_id, count(*) AS pages, CAST(sum(CASE WHEN f.p IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS uncovered, round(sum(CASE WHEN f.p IS NULL THEN 1 ELSE 0 END) / count(*), 6) AS share FROM c LEFT JOIN f ON c.run_id = f.run_id AND c.p = f.p GROUP BY row_id""")
@@ -294,8 +293,7 @@ def a08_heading_spans(spark, sf):
     """Text that follows each heading up to the next one of its run."""
     b = blocks(spark, sf).where(~F.col("block_type").startswith("/"))
     head = F.col("block_type").isin("h1", "h2")
-    w = W.partitionBy("run_id").orderBy("page", "row_id", "block_order").rowsBetween(W.unboundedPreceding, 0)
-    g = b.withColumn("island", F.sum(F.when(head, 1).otherwise(0)).over(w)).where("island > 0")
+    g = R.running_sum(b, ["run_id"], "page", F.when(head, 1).otherwise(0), "island", ("row_id", "block_order")).where("island > 0")
     return g.groupBy("run_id", "island").agg((F.count("*") - 1).alias("body_blocks"), F.sum(F.when(head, 0).otherwise(F.least(F.lit(200), F.length("text")))).alias("score"))
 
 
@@ -359,9 +357,8 @@ def a22_rollup(spark, sf):
 @query(f"""WITH {_P1}, w AS (SELECT run_id, page, (blocks IS NULL OR len(blocks) = 0) AS empty, page_number, lag(len(blocks) > 0) OVER (PARTITION BY run_id ORDER BY page) AS b, lead(len(blocks) > 0) OVER (PARTITION BY run_id ORDER BY page) AS a FROM p1)
  SELECT run_id, count(*) AS pages, CAST(sum(CASE WHEN empty THEN 1 ELSE 0 END) AS BIGINT) AS empty_pages, CAST(sum(CASE WHEN empty AND page_number IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS empty_numbered, CAST(sum(CASE WHEN empty AND b AND a THEN 1 ELSE 0 END) AS BIGINT) AS empty_between FROM w GROUP BY run_id""")
 def a24_page_health(spark, sf):
-    w = W.partitionBy("run_id").orderBy("page")
     full = F.coalesce(F.size("blocks"), F.lit(0)) > 0
-    p = first_pages(spark, sf).select("run_id", "page", "page_number", full.alias("full")).withColumn("b", F.lag("full").over(w)).withColumn("a", F.lead("full").over(w))
+    p = R.with_neighbours(first_pages(spark, sf).select("run_id", "page", "page_number", full.alias("full")), ["run_id"], "page", ["full"]).withColumn("b", F.col("prev.full")).withColumn("a", F.col("next.full"))
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     e = ~F.col("full")
     return p.groupBy("run_id").agg(F.count("*").alias("pages"), n(e).alias("empty_pages"), n(e & F.col("page_number").isNotNull()).alias("empty_numbered"), n(e & F.col("b") & F.col("a")).alias("empty_between"))
@@ -429,7 +426,7 @@ def a36_pass_rates(spark, sf):
 def w01_next_starts(spark, sf):
     q = table(spark, sf, "portions").where("run_id IS NOT NULL AND page_start IS NOT NULL").groupBy("run_id", "page_start").agg(F.min("row_id").alias("row_id"))
     last = table(spark, sf, "page_blocks").groupBy("run_id").agg(F.max("page").alias("last_page"))
-    return R.next_starts(q.join(last, "run_id", "left"), ["run_id"], "page_start", [F.col("page_start")], F.col("last_page"), "page_stop").select("run_id", "row_id", "page_start", "page_stop")
+    return R.next_starts(q.join(last, "run_id", "left"), ["run_id"], "page_start", F.col("last_page"), "page_stop").select("run_id", "row_id", "page_start", "page_stop")
 
 
 @query(f"""WITH {_P1}, n AS (SELECT run_id, page, page_number AS v, row_number() OVER (PARTITION BY run_id ORDER BY page) AS n FROM p1 WHERE page IS NOT NULL),
@@ -446,8 +443,7 @@ def w07_fill_page_numbers(spark, sf):
 def w08_regions(spark, sf):
     """Runs of pages of one kind among those present; a span counts absent pages too."""
     p = first_pages(spark, sf).select("run_id", "page", "is_blank")
-    w = W.partitionBy("run_id").orderBy("page")
-    g = R.islands(p.withColumn("b", F.lag("is_blank").over(w)), ["run_id"], [F.col("page")], F.col("b") != F.col("is_blank"))
+    g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["is_blank"], after=False), ["run_id"], "page", F.col("prev.is_blank") != F.col("is_blank"))
     return g.groupBy("run_id", "island").agg(F.bool_or("is_blank").alias("is_blank"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("pages"), (F.max("page") - F.min("page") + 1).alias("span"))
 
 
@@ -469,24 +465,27 @@ def w09_continuations(spark, sf):
 def w10_number_runs(spark, sf):
     """Stretches of at least three pages whose printed numbers keep step with the pages."""
     p = first_pages(spark, sf).where("page_number IS NOT NULL").select("run_id", "page", "page_number", F.expr("page_number - page").alias("d"))
-    g = R.islands(p.withColumn("b", F.lag("d").over(W.partitionBy("run_id").orderBy("page"))), ["run_id"], [F.col("page")], F.col("b") != F.col("d"))
+    g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["d"], after=False), ["run_id"], "page", F.col("prev.d") != F.col("d"))
     return g.groupBy("run_id", "island").agg(F.min("page_number").alias("first_number"), F.max("page_number").alias("last_number"), F.count("*").alias("pages")).where("pages >= 3").drop("island")
 
 
-@query(f"WITH {_P1}, l AS (SELECT run_id, page, page_number, lag(page_number) OVER (PARTITION BY run_id ORDER BY page) AS before FROM p1 WHERE page_number IS NOT NULL) SELECT * FROM l WHERE before > page_number")
+@query("WITH l AS (SELECT run_id, row_id, page_number, lag(page_number) OVER (PARTITION BY run_id ORDER BY row_id) AS before FROM page_blocks WHERE page_number IS NOT NULL) SELECT * FROM l WHERE before > page_number")
 def w12_number_breaks(spark, sf):
-    return V.monotonic_breaks(first_pages(spark, sf).select("run_id", "page", "page_number"), ["run_id"], "page", "page_number")
+    """Rows whose printed number is below that of the row that came before."""
+    return V.monotonic_breaks(table(spark, sf, "page_blocks").select("run_id", "row_id", "page_number"), ["run_id"], "row_id", "page_number")
 
 
 @query(f"""WITH {_P1}, n AS (SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY page) - 1 AS i FROM p1), x AS (SELECT run_id, i, unnest(range(greatest(0, CAST(ceil((i - 7) / 5) AS BIGINT)), i // 5 + 1)) AS window_id FROM n)
  SELECT run_id, window_id, count(*) AS pages FROM x GROUP BY ALL""")
 def w15_windows(spark, sf):
     """Windows of eight pages, one every five."""
-    n = first_pages(spark, sf).select("run_id", (F.row_number().over(W.partitionBy("run_id").orderBy("page")) - 1).cast("long").alias("i"))
+    n = R.running_sum(first_pages(spark, sf).select("run_id", "page"), ["run_id"], "page", F.lit(1), "n").select("run_id", (F.col("n") - 1).cast("long").alias("i"))
     return R.sliding_windows(n, ["run_id"], "i", 8, 5).groupBy("run_id", "window_id").agg(F.count("*").alias("pages"))
 
 
-@query()
+@query("""WITH RECURSIVE q AS (SELECT row_id, run_id, page_start AS s, page_end AS e, row_number() OVER (PARTITION BY run_id ORDER BY coalesce(confidence, -1) DESC, page_end - page_start DESC, page_start, row_id) AS n FROM portions WHERE run_id IS NOT NULL AND page_start >= 1 AND page_start <= page_end),
+ r AS (SELECT run_id, n, [{'s': s, 'e': e, 'row_id': row_id}] AS kept FROM q WHERE n = 1 UNION ALL SELECT q.run_id, q.n, CASE WHEN len(list_filter(kept, lambda k: k.s <= q.e AND q.s <= k.e)) = 0 THEN list_append(kept, {'s': q.s, 'e': q.e, 'row_id': q.row_id}) ELSE kept END FROM r JOIN q ON q.run_id = r.run_id AND q.n = r.n + 1),
+ l AS (SELECT run_id, unnest(kept) AS k FROM r QUALIFY n = max(n) OVER (PARTITION BY run_id)) SELECT k.row_id AS row_id, run_id, k.s AS page_start, k.e AS page_end FROM l""")
 def w22_greedy_portions(spark, sf):
     """Portions kept by confidence, then width, then start, none overlapping another of its run."""
     q = table(spark, sf, "portions").where("run_id IS NOT NULL AND page_start >= 1 AND page_start <= page_end").select("row_id", "run_id", "page_start", "page_end", "confidence")
