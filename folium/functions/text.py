@@ -179,14 +179,51 @@ def strip_number_lines(x) -> Column:
 
 
 def ocr_metadata(html) -> Column:
-    """The ocr-metadata tag of a page: struct<quality (0..1), integrity (0..1)>; null fields where it says nothing."""
-    tag = F.regexp_extract(_c(html), r"(?is)<meta[^>]*ocr-metadata[^>]*>", 0)
+    """The ocr-metadata tag among the first five lines of a page: struct<quality, integrity, risk (each clamped to 0..1), line (from 0), warning (not on the first line), rest (the page without the tag)>; null without one."""
+    lines = F.split(F.regexp_replace(F.coalesce(_c(html), F.lit("")), r"^\s+", ""), r"\r\n|\r|\n")
+    hit = F.transform(F.slice(lines, 1, 5), lambda t: F.trim(t).rlike(r"(?i)^<meta.*\bname\s*=\s*['\"]ocr-metadata['\"]"))
+    at = F.array_position(hit, F.lit(True)).cast("int")
+    tag = F.try_element_at(lines, at)
 
     def number(key: str) -> Column:
-        v = F.regexp_extract(tag, rf"(?i){key}\s*=\s*\"?([0-9.]+)", 1).try_cast("double")
-        return F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0))
+        v = F.regexp_extract(tag, rf"(?i)\b{key}\s*=\s*[\"']([^\"']+)[\"']", 1).try_cast("double")
+        return F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0)))
 
-    return F.struct(number("quality").alias("quality"), number("integrity").alias("integrity"))
+    rest = F.array_join(F.filter(lines, lambda t, i: i != at - 1), "\n")
+    out = F.struct(number("data-ocr-quality").alias("quality"), number("data-ocr-integrity").alias("integrity"), number("data-continuation-risk").alias("risk"), (at - 1).alias("line"), F.when(at > 1, F.concat(F.lit("ocr_metadata_not_first_line:"), (at - 1).cast("string"))).alias("warning"), rest.alias("rest"))
+    return F.when(at > 0, out)
+
+
+def printed_number(blocks, page) -> Column:
+    """struct<number, text> of a page's printed number: of the last paragraph marked as one, else of the last paragraph that is one to four figures or a roman number; of its numbers the page's own if it is among them, else the last. Null without either."""
+    marked = F.filter(blocks, lambda b: F.element_at(b.attrs, F.lit("class")) == "page-number")
+    lone = F.filter(blocks, lambda b: (b.block_type == "p") & F.lower(F.trim(b.text)).rlike("^([0-9]{1,4}|[ivxlcdm]+)$"))
+    text = F.trim(F.when(F.size(marked) > 0, F.try_element_at(marked, F.lit(-1)).text).otherwise(F.try_element_at(lone, F.lit(-1)).text))
+    digits = F.transform(F.regexp_extract_all(text, F.lit("([0-9]+)"), F.lit(1)), lambda d: d.try_cast("bigint"))
+    number = F.when(F.array_contains(digits, _c(page).cast("bigint")), _c(page).cast("bigint")).otherwise(F.try_element_at(digits, F.lit(-1)))
+    return F.when(text.isNotNull(), F.struct(number.alias("number"), text.alias("text")))
+
+
+def choices(x, low: int = 1, high: int = 400) -> Column:
+    """'turn to N' of a text, the first for each target within the range: array<struct<target, snippet>>; the snippet has 60 characters before the phrase and 20 after it."""
+    t = F.coalesce(_c(x), F.lit(""))
+    phrase = r"(?i)turn to\s+[0-9]{1,3}"
+    said = F.regexp_extract_all(t, F.lit(f"({phrase})"), F.lit(1))
+    between = F.split(t, phrase)
+    upto = lambda i: F.aggregate(F.sequence(F.lit(1), i), F.lit(""), lambda a, k: F.concat(a, F.element_at(between, k), F.when(k < i, F.element_at(said, k)).otherwise("")))
+
+    def one(m: Column, k: Column) -> Column:
+        before = upto(k + 1)
+        after = F.substr(t, F.length(before) + F.length(m) + 1, F.lit(20))
+        return F.struct(F.regexp_extract(m, "([0-9]{1,3})$", 1).alias("target"), F.trim(F.concat(F.right(before, F.lit(60)), m, after)).alias("snippet"))
+
+    found = F.filter(F.transform(said, one), lambda c: c.target.cast("int").between(low, high))
+    return F.filter(found, lambda c, i: F.array_position(F.transform(found, lambda d: d.target), c.target) == i + 1)
+
+
+def natural_pieces(x) -> Column:
+    """Sort key of alternating texts and numbers: array<struct<number, text>>, numbers before texts at the same place."""
+    return F.transform(F.regexp_extract_all(F.lower(_c(x)), F.lit("([0-9]+|[^0-9]+)"), F.lit(1)), lambda p: F.struct(p.try_cast("bigint").alias("number"), F.when(p.rlike("^[0-9]"), "").otherwise(p).alias("text")))
 
 
 def table_stats(html) -> Column:

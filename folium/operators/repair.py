@@ -76,6 +76,44 @@ def reconstructed(lines: Column) -> Column:
     return F.pandas_udf(lambda s: s.map(lambda x: paragraphs([] if x is None else list(x))), "array<string>")(lines)
 
 
+_RANGE = re.compile(r"[0-9OoIlSB]{1,3}\s*[-–]\s*[0-9OoIlSB]{1,3}")
+_NUMBERISH = re.compile(r"[0-9OoIlSB]*[0-9][0-9OoIlSB]*[.,:;)]?")
+_RULE = set("—-_~*·.")
+
+
+def without_section_numbers(text: str | None, section: str | None = None) -> str | None:
+    """A text without lines of numbers only, the numbers before its first line's words, and lines of signs only; the other lines stand as paragraphs, blank ones at most singly.
+
+    Before the first line's words go: the section's own number, ranges, numbers that
+    a number follows or precedes, and mixtures of up to four signs that begin with a
+    figure.
+    """
+    if not text:
+        return text
+    lines = [t.rstrip() for t in text.splitlines() if not re.fullmatch(r"\s*[0-9]{1,4}(\s*[-–]\s*[0-9]{1,4})?\s*", t)]
+    at = next((i for i, t in enumerate(lines) if t.strip()), None)
+    if at is not None:
+        words, gone = lines[at].split(), 0
+        while words:
+            w = words[0]
+            mixed = w[0].isdigit() and any(map(str.isalpha, w)) and len(w) <= 4
+            number = bool(_NUMBERISH.fullmatch(w)) and (gone > 0 or len(words) > 1 and bool(_NUMBERISH.fullmatch(words[1])))
+            if not (section and section.isdigit() and re.sub(r"\D", "", w) == section or _RANGE.fullmatch(w) or number or mixed):
+                break
+            words.pop(0)
+            gone += 1
+        lines[at] = " ".join(words)
+    out: list[str] = []
+    for t in lines:
+        bare = t.strip()
+        signs = bare and set(bare) <= _RULE or len(bare) >= 12 and sum(map(str.isalpha, bare)) < 0.35 * len(bare)
+        if not signs and (bare or out and out[-1]):
+            out.append(t if bare else "")
+    while out and not out[-1]:
+        out.pop()
+    return "\n\n".join(out)
+
+
 # ---------------------------------------------------------------- tables
 
 #: Months as tables abbreviate them (fixed values).

@@ -84,16 +84,20 @@ def q10_conformance(spark, sf):
 _TOK = r"list_distinct(list_filter(string_split(regexp_replace(lower(array_to_string(list_transform(blocks, lambda b: b.text), ' ')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3))"
 
 
-@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY run_id, page ORDER BY row_id) AS n FROM page_blocks WHERE len(blocks) > 0),
- o AS (SELECT run_id, page, row_id, {_TOK} AS t FROM r WHERE n = 1), c AS (SELECT run_id, page, row_id, {_TOK} AS t FROM r WHERE n = 2)
- SELECT o.run_id, o.page, o.row_id AS old_row_id, c.row_id AS new_row_id, CASE WHEN c.row_id IS NULL THEN 'no_candidate' WHEN len(c.t) = 0 THEN 'empty' WHEN len(o.t) > 0 AND len(list_intersect(o.t, c.t)) / len(o.t) < 0.95::DOUBLE THEN 'lost_text' ELSE 'accepted' END AS decision FROM o LEFT JOIN c USING (run_id, page)""")
+_ALL = r"list_filter(string_split(regexp_replace(lower(array_to_string(list_transform(blocks, lambda b: b.text), ' ')), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 3)"
+
+
+@query(f"""WITH fl AS (SELECT run_id, page, min(row_id) AS f, max(row_id) AS l FROM page_blocks WHERE len(blocks) > 0 GROUP BY ALL), m AS (SELECT row_id, {_ALL} AS t, length(array_to_string(list_transform(blocks, lambda b: coalesce(b.text, '')), ' ')) AS chars FROM page_blocks WHERE len(blocks) > 0)
+ SELECT run_id, page, f AS old_row_id, CASE WHEN l <> f THEN l END AS new_row_id, CASE WHEN l = f THEN 'no_candidate' WHEN len(n.t) = 0 THEN 'empty' WHEN len(o.t) > 0 AND len(list_filter(o.t, lambda w: list_contains(n.t, w))) / len(o.t) < 0.95::DOUBLE THEN 'lost_text' WHEN o.chars >= 120 AND n.chars / o.chars < 0.9::DOUBLE THEN 'too_short' ELSE 'accepted' END AS decision FROM fl JOIN m o ON o.row_id = f JOIN m n ON n.row_id = l""")
 def q01_retention(spark, sf):
-    """Whether the second delivery of a page may replace the first: it must keep 95 % of its words."""
-    r = table(spark, sf, "page_blocks").where(F.size("blocks") > 0)
+    """Whether the last delivery of a page may replace the first: it must keep 95 % of its words, repeated ones counted each, and 90 % of a longer page's length."""
     text = F.array_join(F.transform("blocks", lambda b: F.coalesce(b.text, F.lit(""))), " ")
-    r = r.select("run_id", "page", "row_id", T.tokens_of(text, 3).alias("t"), F.row_number().over(W.partitionBy("run_id", "page").orderBy("row_id")).alias("n"))
-    kept = F.when(F.size("old_t") > 0, F.size(F.array_intersect("old_t", "new_t")) / F.size("old_t")).otherwise(1.0)
-    d = Q.decide(r.where("n = 1").drop("n"), r.where("n = 2").drop("n"), ["run_id", "page"], [("empty", F.size("new_t") == 0), ("lost_text", kept < 0.95)])
+    words = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "), " "), lambda w: F.length(w) >= 3)
+    r = table(spark, sf, "page_blocks").where(F.size("blocks") > 0).select("run_id", "page", "row_id", words.alias("t"), F.length(text).alias("chars"))
+    first = R.first_per_key(r, ["run_id", "page"], [F.col("row_id")])
+    last = R.first_per_key(r, ["run_id", "page"], [-F.col("row_id")]).join(first.select("run_id", "page", F.col("row_id").alias("_f")), ["run_id", "page"]).where("row_id != _f").drop("_f")
+    kept = F.when(F.size("old_t") > 0, F.size(F.filter("old_t", lambda w: F.array_contains("new_t", w))) / F.size("old_t")).otherwise(1.0)
+    d = Q.decide(first, last, ["run_id", "page"], [("empty", F.size("new_t") == 0), ("lost_text", kept < 0.95), ("too_short", (F.col("old_chars") >= 120) & (F.col("new_chars") / F.col("old_chars") < 0.9))])
     return d.select("run_id", "page", "old_row_id", "new_row_id", "decision")
 
 

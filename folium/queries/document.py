@@ -469,10 +469,10 @@ def w10_number_runs(spark, sf):
     return g.groupBy("run_id", "island").agg(F.min("page_number").alias("first_number"), F.max("page_number").alias("last_number"), F.count("*").alias("pages")).where("pages >= 3").drop("island")
 
 
-@query("WITH l AS (SELECT run_id, row_id, page_number, lag(page_number) OVER (PARTITION BY run_id ORDER BY row_id) AS before FROM page_blocks WHERE page_number IS NOT NULL) SELECT * FROM l WHERE before > page_number")
+@query("WITH l AS (SELECT run_id, row_id, source_page_number, lag(source_page_number) OVER (PARTITION BY run_id ORDER BY row_id) AS before FROM provenance_blocks WHERE source_page_number IS NOT NULL) SELECT * FROM l WHERE before > source_page_number")
 def w12_number_breaks(spark, sf):
-    """Rows whose printed number is below that of the row that came before."""
-    return V.monotonic_breaks(table(spark, sf, "page_blocks").select("run_id", "row_id", "page_number"), ["run_id"], "row_id", "page_number")
+    """Provenance rows whose source page is before that of the row above."""
+    return V.monotonic_breaks(table(spark, sf, "provenance_blocks").select("run_id", "row_id", "source_page_number"), ["run_id"], "row_id", "source_page_number")
 
 
 @query(f"""WITH {_P1}, n AS (SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY page) - 1 AS i FROM p1), x AS (SELECT run_id, i, unnest(range(greatest(0, CAST(ceil((i - 7) / 5) AS BIGINT)), i // 5 + 1)) AS window_id FROM n)

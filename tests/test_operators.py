@@ -41,8 +41,6 @@ def test_text_expressions(spark):
     assert one(spark, T.is_section_number("t"), t=" 4O ") and not one(spark, T.is_section_number("t"), t="house")
     assert one(spark, T.join_hyphens("t"), t="a bro-\nken word") == "a broken word"
     assert one(spark, T.strip_number_lines("t"), t="12\ntext\n3-5") == "text"
-    m = one(spark, T.ocr_metadata("t"), t='<meta name="ocr-metadata" quality="1.7" integrity="0.25">')
-    assert (m.quality, m.integrity) == (1.0, 0.25)
     s = one(spark, T.table_stats("t"), t="<table><tr><td>a<td>b<td>c<td>d<td>e<td>f</tr></table>turn to")
     assert s.collapsed and s.turns == 1
     assert one(spark, T.private_text("t"), t="see /home/x/y") is None and one(spark, T.private_text("t"), t="a note") == "a note"
