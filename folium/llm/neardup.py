@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folium.llm.shingles import WORD_BITS, gram_sets, mix
-from folium.runtime import materialize, small_side
+from folium.runtime import materialize, release, settle, small_side
 
 #: Bytes of cells and texts that one column block is meant to get.
 BLOCK_BYTES = 48 << 20
@@ -328,7 +328,7 @@ def near_duplicates(pages: DataFrame, row_id: str = "row_id", text: str = "text"
     """Pairs of rows: row_id_a < row_id_b, similarity. Copies of a text are rows like any other, so each of their pairs comes out (similarity 1)."""
     rows = pages.select(F.col(row_id).alias("row"), F.col(text).alias("text")).where(F.length("text") >= 2 * least_words - 1)
     rows = materialize(rows.withColumn("id", F.xxhash64("text")), "texts")
-    pairs = materialize(similar_texts(rows, n, threshold, least_words, **how), "similar")
+    pairs = settle(rows.sparkSession, lambda: similar_texts(rows, n, threshold, least_words, **how), "similar")
     member = rows.select("id", "row")
     again = member.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     used = materialize(pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(again).distinct(), "used")
@@ -349,7 +349,7 @@ def duplicate_groups(pages: DataFrame, row_id: str = "row_id", text: str = "text
     """
     rows = pages.select(F.col(row_id).alias("row"), F.col(text).alias("text")).withColumn("id", F.xxhash64(F.coalesce("text", F.lit(""))))
     rows = materialize(rows, "texts")
-    pairs = materialize(similar_texts(rows, n, threshold, least_words, **how), "similar")
+    pairs = settle(rows.sparkSession, lambda: similar_texts(rows, n, threshold, least_words, **how), "similar")
     edges = materialize(pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     label = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
     while True:
@@ -358,7 +358,8 @@ def duplicate_groups(pages: DataFrame, row_id: str = "row_id", text: str = "text
         # pointer jumping: the label's own label
         jump = label.select(F.col("a").alias("next"), F.col("label").alias("far"))
         step = materialize(step.join(jump, "next", "left").select("a", F.least("next", F.coalesce("far", "next")).alias("label"), F.col("label").alias("old")), "labels")
-        label = step.select("a", "label")
+        known, label = label, step.select("a", "label")
+        release(known)
         if step.where("label != old").isEmpty():
             break
     links = edges.groupBy("a").agg(F.count("*").alias("links"))
