@@ -389,3 +389,9 @@ def figure_role(alt: Column, caption: Column, headings: Column) -> Column:
 def canonical_sha(*cols: Column | str) -> Column:
     """'sha256:' and the hash of the columns' texts joined by a zero byte (nulls as empty)."""
     return F.concat(F.lit("sha256:"), F.sha2(F.concat_ws("\x00", *[F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]), 256))
+
+
+def page_key(number, side) -> Column:
+    """Key of a page: the number, or for half of a spread three figures and L or R."""
+    s = F.upper(F.substring(F.coalesce(_c(side), F.lit("")), 1, 1))
+    return F.when(s.isin("L", "R"), F.concat(F.lpad(_c(number).cast("string"), 3, "0"), s)).otherwise(_c(number).cast("string"))

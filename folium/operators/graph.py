@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folium.runtime import materialize
+from folium.runtime import materialize, release
 
 
 def reachable(edges: DataFrame, starts: DataFrame, scope: str = "scope", src: str = "src", dst: str = "dst", wide: int = 4) -> DataFrame:
@@ -27,11 +27,14 @@ def reachable(edges: DataFrame, starts: DataFrame, scope: str = "scope", src: st
         fresh = materialize(fresh, "fresh")
         if fresh.isEmpty():
             return seen
-        seen = materialize(seen.unionByName(fresh), "seen")
+        known, seen = seen, materialize(seen.unionByName(fresh), "seen")
+        release(known, fresh)
         a, b = jump.alias("a"), jump.alias("b")
         twice = materialize(a.join(b, (F.col("a.scope") == F.col("b.scope")) & (F.col("a.dst") == F.col("b.src"))).select("a.scope", "a.src", "b.dst").distinct(), "jumps")
         if twice.count() > wide * few:
             break
+        if jump is not e:
+            release(jump)
         jump, span = twice, 2 * span
     front = seen
     while True:
@@ -39,7 +42,8 @@ def reachable(edges: DataFrame, starts: DataFrame, scope: str = "scope", src: st
         front = materialize(step.join(seen.select("scope", "node"), ["scope", "node"], "left_anti").groupBy("scope", "node").agg(F.min("hops").alias("hops")), "frontier")
         if front.isEmpty():
             return seen
-        seen = materialize(seen.unionByName(front), "seen")
+        known, seen = seen, materialize(seen.unionByName(front), "seen")
+        release(known)
 
 
 def dangling(edges: DataFrame, nodes: DataFrame, scope: str = "scope", dst: str = "dst") -> DataFrame:

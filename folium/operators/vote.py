@@ -134,6 +134,30 @@ def disagreement(readings: DataFrame, keys: list[str], engine: str, text: str) -
     return a.join(b, keys).where("_a < _b").groupBy(*keys).agg(F.count("*").alias("pairs"), F.avg(unlike("_ta", "_tb")).alias("disagreement"))
 
 
+def half_lines(lines: Column, gutter: float, right: bool) -> Column:
+    """Lines struct<text, x0, x1> of one half of a spread: those whose centre lies on that side of the gutter; lines without a box belong to both."""
+    return F.filter(lines, lambda x: x.x0.isNull() | x.x1.isNull() | (((x.x0 + x.x1) / 2 >= gutter) if right else ((x.x0 + x.x1) / 2 < gutter)))
+
+
+def without_outliers(readings: DataFrame, keys: list[str], engine: str, text: str, most: float = 0.6) -> DataFrame:
+    """Readings without the engine that is unlike all others: with three or more on a page, those whose mean unlikeness to the rest is above `most` go, as long as two stay."""
+    t = F.coalesce(text, F.lit(""))
+    a, b = readings.select(*keys, F.col(engine).alias("_a"), t.alias("_ta")), readings.select(*keys, F.col(engine).alias("_b"), t.alias("_tb"))
+    unlike = F.pandas_udf(lambda x, y: pd.Series([1 - likeness(p, q) for p, q in zip(x, y)], dtype=float), "double")
+    far = a.join(b, keys).where("_a != _b").groupBy(*keys, F.col("_a").alias(engine)).agg(F.avg(unlike("_ta", "_tb")).alias("_far"), F.count("*").alias("_n"))
+    far = far.where((F.col("_far") > most) & (F.col("_n") >= 2))
+    n = far.groupBy(*keys).agg(F.count("*").alias("_gone"), F.max("_n").alias("_rest")).where("_rest + 1 - _gone >= 2").select(*keys)
+    return readings.join(far.join(n, keys, "left_semi").select(*keys, engine), [*keys, engine], "left_anti")
+
+
+def page_source(voted: Column) -> Column:
+    """The engine from which most of a page's voted lines come (ties: the first by name)."""
+    names = F.array_sort(F.array_distinct(F.transform(voted, lambda v: v.source)))
+    counted = F.transform(names, lambda n: F.struct(F.size(F.filter(voted, lambda v: v.source == n)).alias("n"), n.alias("name")))
+    best = F.aggregate(counted, F.struct(F.lit(0).alias("n"), F.lit(None).cast("string").alias("name")), lambda a, c: F.when(c.n > a.n, c).otherwise(a))
+    return best["name"]
+
+
 def page_quality(lines: Column, disagree: Column | float = 0.0, dictionary: Column | float = 0.0, confusion: Column | float = 0.0) -> Column:
     """How bad a page's text is: struct<corruption, missing, fragmentation, quality> in 0..1, the highest of weighted signs.
 

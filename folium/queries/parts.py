@@ -180,3 +180,9 @@ def k09_report(spark, sf):
     """Portions and runs per module as lines of a report."""
     r = table(spark, sf, "portions").groupBy("module_id").agg(F.count("*").alias("n"), F.countDistinct("run_id").alias("runs"))
     return M.report_lines(r, ["module_id", "n", "runs"])
+
+
+@query("""SELECT row_id, CASE WHEN upper(coalesce(spread_side, '')[1:1]) IN ('L', 'R') THEN lpad(CAST(page AS VARCHAR), 3, '0') || upper(spread_side[1:1]) ELSE CAST(page AS VARCHAR) END AS key FROM page_blocks WHERE page < 1000""")
+def c22_page_keys(spark, sf):
+    """Keys of pages and halves of spreads."""
+    return table(spark, sf, "page_blocks").where("page < 1000").select("row_id", T.page_key("page", "spread_side").alias("key"))

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folders written while a result is being built (innermost last), so that they can go once it stands; and all that are still there.
+_BUILDING: list[list[str]] = []
+_WRITTEN: set[str] = set()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a result that several steps read to the shared folder and read it again.
 
@@ -61,9 +67,44 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.add(path)
+    if _BUILDING:
+        _BUILDING[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """materialize() what `build` gives, then delete whatever was written to build it: the result reads none of that any more."""
+    _BUILDING.append([])
+    try:
+        out = build()
+    finally:
+        scratch = _BUILDING.pop()
+    out = materialize(out, name)
+    delete(spark, scratch)
+    return out
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the folders of frames made by materialize() that nothing reads any more."""
+    for df in frames:
+        files = df.inputFiles()
+        delete(df.sparkSession, {f.rsplit("/", 1)[0] for f in files})
+
+
+def delete(spark: SparkSession, paths) -> None:
+    jvm = spark.sparkContext._jvm
+    for path in list(paths):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _WRITTEN.discard(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all intermediate folders of this session; results that still read them must have been written."""
+    delete(spark, _WRITTEN)
+
+
 def stored_bytes(df: DataFrame) -> int:
     """Bytes of the files behind a frame made by materialize()."""
     spark = df.sparkSession

@@ -161,3 +161,12 @@ def test_tagging(spark):
     got = {r.elem: (r.label, r.confidence) for r in tag_elements(d).collect()}
     assert got[10] == ("Page-header", 0.9) and got[11][0] == "Text" and got[12] == ("Page-footer", 0.99) and got[900] == ("Title", 0.75) and got[901] == ("Picture", 0.9) and got[902] == ("Footnote", 0.95) and got[903][0] == "List-item"
     assert tag_elements(d.where("elem < 0")).count() == 0
+
+
+def test_halves_and_outliers(spark):
+    d = spark.createDataFrame([(1, "a", "the old mill stood"), (1, "b", "the old mill stood"), (1, "c", "zzzz qqqq"), (2, "a", "x"), (2, "b", "yyy")], "p long, e string, t string")
+    assert {(r.p, r.e) for r in V.without_outliers(d, ["p"], "e", "t").collect()} == {(1, "a"), (1, "b"), (2, "a"), (2, "b")}
+    l = spark.createDataFrame([([("l", 0.1, 0.3), ("r", 0.6, 0.9), ("b", None, None)],)], "x array<struct<text:string,x0:double,x1:double>>")  # noqa: E741
+    assert [[t.text for t in r.h] for r in (l.select(V.half_lines(F.col("x"), 0.5, side).alias("h")).first() for side in (False, True))] == [["l", "b"], ["r", "b"]]
+    v = spark.createDataFrame([([("a", "x", 0.0), ("b", "y", 0.0), ("c", "y", 0.0)],), ([],)], "v array<struct<text:string,source:string,distance:double>>")
+    assert [r.s for r in v.select(V.page_source(F.col("v")).alias("s")).collect()] == ["y", None]
