@@ -45,3 +45,11 @@ def test_against_rows(spark):
         elif all(p[4] is not None and p[4] <= t for p in past):
             want.add((i, "deleted"))
     assert found(spark, parents, children)[0] == want
+
+
+def test_two_parent_tables(spark):
+    """The same key is looked up in the table that each reference names."""
+    a, b = spark.createDataFrame([(1, "r", "x", T[1], None, None, None)], P), spark.createDataFrame([(1, "r", "y", T[9], None, None, None)], P)
+    c = spark.createDataFrame([(1, "r", "x", T[4], None, None), (2, "r", "y", T[4], None, None)], C)
+    out = orphan_references({"a": a, "b": b}, [Reference("c1", c, ("entry_id",), parent="a"), Reference("c2", c, ("entry_id",), parent="b")], "entry_id")
+    assert {(r.ref_table, r.row_id, r.orphan_kind) for r in out.collect()} == {("c1", 2, "missing"), ("c2", 1, "missing"), ("c2", 2, "late")}
