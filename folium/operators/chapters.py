@@ -235,6 +235,39 @@ def uncovered_pages(pages: DataFrame, entries: DataFrame, run: str = "run_id") -
     return p.select(F.col(run).alias("run"), F.lit("page").alias("kind"), title.alias("title"), F.col("printed").alias("page_start"), F.col("printed").alias("page_end"), one("page").alias("source_pages"), one("printed").alias("printed_pages"))
 
 
+def bare_html(html: Column) -> Column:
+    """A page's HTML without running heads and page numbers, its head cells with a scope: for columns in a thead, else for rows."""
+    t = F.regexp_replace(F.coalesce(html, F.lit("")), r"""(?is)<p\b[^>]*class\s*=\s*["'](?:page-number|running-head)["'][^>]*>.*?</p>\s*""", "")
+    in_head = F.regexp_replace(t, r"(?is)<th>(?=(?:(?!</?thead\b).)*</thead>)", '<th scope="col">')
+    return F.trim(F.regexp_replace(in_head, "(?i)<th>", '<th scope="row">'))
+
+
+def chapter_bodies(entries: DataFrame, pages: DataFrame, run: str = "run_id") -> DataFrame:
+    """HTML body of each entry from its pages: run, kind, number, body.
+
+    entries: as chapters(); pages: run, page (source number), html.  Pages follow in
+    the entry's order; a paragraph at a page's end that goes on with the first one of
+    the next page (see stitches) becomes one paragraph.  Pages without HTML add
+    nothing; repeated rows of a page count once (the least HTML).
+    """
+    p = pages.where(F.col("page").isNotNull()).groupBy(run, "page").agg(F.min(bare_html(F.col("html"))).alias("h"))
+    e = entries.select("run", "kind", "number", F.posexplode("source_pages").alias("o", "page"))
+    d = e.join(p.withColumnRenamed(run, "run"), ["run", "page"]).where("h != ''")
+    text = lambda c: F.regexp_replace(c, "<[^>]*>", " ")
+    last, first = F.regexp_extract("h", r"(?is)<p\b[^>]*>((?:(?!<p\b).)*)</p>\s*$", 1), F.regexp_extract("h", r"(?is)^\s*<p\b[^>]*>(.*?)</p>", 1)
+    item = F.struct("o", "h", text(last).alias("last"), text(first).alias("first"))
+    g = d.groupBy("run", "kind", "number").agg(F.array_sort(F.collect_list(item)).alias("x"))
+    none = F.struct(F.lit("").alias("body"), F.lit("").alias("last"))
+
+    def add(acc: Column, x: Column) -> Column:
+        goes_on = stitches(acc["last"], x["first"])
+        glued = F.concat(F.regexp_replace(acc["body"], r"(?i)</p>\s*$", " "), F.regexp_replace(x["h"], r"(?i)^\s*<p\b[^>]*>", ""))
+        body = F.when(acc["body"] == "", x["h"]).when(goes_on, glued).otherwise(F.concat(acc["body"], F.lit("\n"), x["h"]))
+        return F.struct(body.alias("body"), x["last"].alias("last"))
+
+    return g.select("run", "kind", "number", F.aggregate("x", none, add)["body"].alias("body"))
+
+
 # ---------------------------------------------------------------- where blocks come from
 
 

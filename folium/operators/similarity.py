@@ -97,6 +97,16 @@ def greedy_boxes(found: list[tuple], truth: list[tuple], least: float = 0.5) ->
     return out
 
 
+def matched_boxes(found: Column, truth: Column, least: float = 0.5) -> Column:
+    """greedy_boxes of two arrays of structs <x0, y0, x1, y1> of one image: array<struct<found, truth, overlap>> (Arrow batches; null arrays count as empty)."""
+
+    def run(f: pd.Series, t: pd.Series) -> pd.Series:
+        rows = lambda a: [] if a is None else [tuple(b[k] for k in ("x0", "y0", "x1", "y1")) for b in a]
+        return pd.Series([[{"found": i, "truth": j, "overlap": v} for i, j, v in greedy_boxes(rows(x), rows(y), least)] for x, y in zip(f, t)])
+
+    return F.pandas_udf(run, "array<struct<found:int,truth:int,overlap:double>>")(found, truth)
+
+
 def lcs_rows(a: list[str], b: list[str], least: float = 0.5) -> list[tuple[int, int]]:
     """Longest common subsequence of rows that are alike (ratio at least `least`): pairs of indices."""
     n, m = len(a), len(b)

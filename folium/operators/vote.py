@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folium.functions.text import corruption_score, strip
+from folium.operators.relational import first_per_key
 
 VOTED = "array<struct<text:string,source:string,distance:double>>"
 
@@ -198,3 +199,10 @@ def without_fragments(lines: Column, least: int = 4, share: float = 0.5) -> Colu
     all_ = F.size(F.filter(flags, lambda x: x))
     cut = (F.size(lines) >= 5) & (tail >= 3) & (tail >= share * F.greatest(all_, F.lit(1)))
     return F.when(cut, F.slice(lines, F.lit(1), F.size(lines) - tail)).otherwise(lines)
+
+
+def best_reading(readings: DataFrame, keys: list[str], score: Column, engine: str, preferred: list[str], chars: str, least: int, ordinal: str) -> DataFrame:
+    """The reading of each page with the lowest score among those of at least `least` characters (any, if none has so many); ties go by the preferred engines, then others, then the ordinal. A null score is the worst."""
+    place = F.coalesce(F.array_position(F.array(*[F.lit(p) for p in preferred]), F.col(engine)), F.lit(0))
+    order = [F.when(F.coalesce(chars, F.lit(0)) >= least, 0).otherwise(1), F.coalesce(score, F.lit(float("inf"))), F.when(place == 0, len(preferred) + 1).otherwise(place), F.col(ordinal)]
+    return first_per_key(readings, keys, order)

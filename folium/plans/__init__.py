@@ -140,3 +140,16 @@ def stamp(df: DataFrame, schema_version: str, module_id: str, run_id: str, creat
     for name, value in (("schema_version", schema_version), ("module_id", module_id), ("run_id", run_id), ("created_at", created_at)):
         df = df.withColumn(name, F.coalesce(F.col(name), F.lit(value)) if name in df.columns else F.lit(value))
     return df
+
+
+def snapshot(recipe: "Recipe", run_id: str, inputs: dict[str, str]) -> dict[str, Any]:
+    """What a run is made of, as plain data: its stages in order with all parameters (defaults filled in), the operators that they use with columns and parameters, and the inputs' paths."""
+    stages = recipe.stages
+    order = recipe.order(set(inputs))
+    used = {stages[i].op: recipe.registry[stages[i].op] for i in order}
+    filled = lambda s: {k: s.params.get(k, p.default) for k, p in used[s.op].params.items()}
+    return {
+        "run_id": run_id, "inputs": dict(sorted(inputs.items())),
+        "stages": [{"id": i, "op": stages[i].op, "needs": list(stages[i].needs), "params": filled(stages[i])} for i in order],
+        "operators": {n: {"columns_in": [list(c) for c in o.columns_in], "columns_out": list(o.columns_out), "params": sorted(o.params)} for n, o in sorted(used.items())},
+    }

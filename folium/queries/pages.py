@@ -384,6 +384,19 @@ def k04_chapters(spark, sf):
     return c.select(F.col("run").alias("run_id"), "number", "title", "page_start", "page_end", F.array_join(F.transform("source_pages", lambda x: x.cast("string")), ",").alias("source_pages"), F.size("portions").alias("portions"))
 
 
+@query()
+def k04_bodies(spark, sf):
+    """HTML body of each chapter, as a digest and its length (literal cases in the tests)."""
+    from folium.functions.html import render_blocks
+    from folium.runtime import materialize
+
+    pages, portions = _chapter_inputs(spark, sf)
+    by_order = F.array_sort("blocks", lambda a, b: F.when(a.block_order < b.block_order, -1).when(a.block_order > b.block_order, 1).otherwise(0))
+    html = first_pages(spark, sf).where(F.size("blocks") > 0).select("run_id", "page", render_blocks(by_order).alias("html"))
+    b = C.chapter_bodies(materialize(C.chapters(pages, portions), "chapters"), html)
+    return b.select(F.col("run").alias("run_id"), "number", F.md5("body").alias("digest"), F.length("body").alias("chars"))
+
+
 @query()
 def k04_uncovered(spark, sf):
     """Pages that no chapter covers, as entries of their own."""
@@ -480,3 +493,13 @@ def f20_key_values(spark, sf):
     t = F.when(i % 3 == 0, F.concat(F.lit("Stamina = "), (i % 40).cast("string"))).when(i % 3 == 1, F.concat(F.lit("GIANT RAT  SKILL "), (i % 12).cast("string"), F.lit("  STAMINA "), (i % 9).cast("string"))).otherwise(F.col("text"))
     k = table(spark, sf, "preview_blocks").select("row_id", t.alias("t")).select("row_id", T.key_values("t").alias("k")).where("k IS NOT NULL")
     return k.select("row_id", "k.entity", F.array_join(F.transform("k.pairs", lambda p: F.concat(p.key, F.coalesce(p.value.cast("string"), F.lit("")))), " ").alias("pairs"))
+
+
+@query(r"""WITH d AS (SELECT run_id, page, row_id, coalesce(module_id, '') AS engine, array_to_string(list_transform(coalesce(blocks, []), lambda b: coalesce(b.text, '')), ' ') AS t FROM page_blocks), s AS (SELECT *, length(t) AS chars, round(1 - length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(1, length(t)), 6) AS score FROM d)
+ SELECT run_id, page, row_id FROM s QUALIFY row_number() OVER (PARTITION BY run_id, page ORDER BY CASE WHEN chars >= 40 THEN 0 ELSE 1 END, score, CASE engine WHEN 'marker_page_html_v1' THEN 1 WHEN 'html_to_blocks_v1' THEN 2 ELSE 3 END, row_id) = 1""")
+def a19_best_reading(spark, sf):
+    """The delivery of each page with the largest share of letters, of those with 40 characters; ties by module."""
+    t = F.array_join(F.transform(F.coalesce("blocks", F.slice("blocks", 1, 0)), lambda b: F.coalesce(b.text, F.lit(""))), " ")
+    d = table(spark, sf, "page_blocks").select("run_id", "page", "row_id", F.coalesce("module_id", F.lit("")).alias("engine"), F.coalesce(t, F.lit("")).alias("t"))
+    d = d.withColumn("chars", F.length("t")).withColumn("score", F.round(1 - F.length(F.regexp_replace("t", "[^A-Za-z]", "")) / F.greatest(F.lit(1), F.length("t")), 6))
+    return V.best_reading(d.drop("t"), ["run_id", "page"], F.col("score"), "engine", ["marker_page_html_v1", "html_to_blocks_v1"], "chars", 40, "row_id").select("run_id", "page", "row_id")

@@ -170,3 +170,33 @@ def test_halves_and_outliers(spark):
     assert [[t.text for t in r.h] for r in (l.select(V.half_lines(F.col("x"), 0.5, side).alias("h")).first() for side in (False, True))] == [["l", "b"], ["r", "b"]]
     v = spark.createDataFrame([([("a", "x", 0.0), ("b", "y", 0.0), ("c", "y", 0.0)],), ([],)], "v array<struct<text:string,source:string,distance:double>>")
     assert [r.s for r in v.select(V.page_source(F.col("v")).alias("s")).collect()] == ["y", None]
+
+
+def test_chapter_bodies(spark):
+    e = spark.createDataFrame([("r", "chapter", 1, [2, 1, 3, 9]), ("r", "page", None, [4])], "run string, kind string, number long, source_pages array<long>")
+    html = {1: '<p class="running-head">THE MILL</p><p>He went to the</p>', 2: "<h1>The Mill</h1>\n<p>It was old.</p><p class='page-number'>2</p>", 3: "<p class='x'>mill and stayed.</p><table><thead><tr><th>a</th></tr></thead><tr><th>b</th></tr></table>", 4: "<p>Alone.</p>"}
+    p = spark.createDataFrame([("r", n, h) for n, h in html.items()] + [("r", 4, html[4]), ("r", 9, None), ("q", 1, "<p>other</p>")], "run_id string, page long, html string")
+    got = {r.kind: r.body for r in C.chapter_bodies(e, p).collect()}
+    assert got == {"chapter": '<h1>The Mill</h1>\n<p>It was old.</p>\n<p>He went to the mill and stayed.</p><table><thead><tr><th scope="col">a</th></tr></thead><tr><th scope="row">b</th></tr></table>', "page": "<p>Alone.</p>"}
+
+
+def test_matched_boxes(spark):
+    from folium.operators.similarity import matched_boxes
+
+    box = "array<struct<x0:double,y0:double,x1:double,y1:double>>"
+    d = spark.createDataFrame([([(0.0, 0.0, 2.0, 2.0), (0.0, 0.0, 4.0, 4.0)], [(0.0, 0.0, 4.0, 4.0)]), (None, [])], f"f {box}, t {box}")
+    assert [[tuple(x) for x in r.m] for r in d.select(matched_boxes("f", "t").alias("m")).collect()] == [[(1, 0, 1.0)], []]
+
+
+def test_best_reading(spark):
+    d = spark.createDataFrame([("p", 1, "b", 0.1, 5), ("p", 2, "c", 0.2, 50), ("p", 3, "a", 0.2, 50), ("q", 4, "z", None, None)], "k string, o long, e string, s double, n long")
+    assert {(r.k, r.o) for r in V.best_reading(d, ["k"], F.col("s"), "e", ["a", "b"], "n", 10, "o").collect()} == {("p", 3), ("q", 4)}
+
+
+def test_snapshot():
+    from folium.plans import Param, Recipe, Stage, snapshot
+    from folium.plans import Operator
+
+    op = Operator("keep", lambda d, least: d, 1, (("x",),), ("x",), {"least": Param(int, 0)})
+    s = snapshot(Recipe([Stage("b", "keep", ("a",), {"least": 5}), Stage("a", "keep", ("in",))], {"keep": op}), "r1", {"in": "/x"})
+    assert [x["id"] for x in s["stages"]] == ["a", "b"] and [x["params"] for x in s["stages"]] == [{"least": 0}, {"least": 5}] and s["operators"]["keep"]["columns_in"] == [["x"]]
