@@ -126,7 +126,7 @@ def _cells(n: int, least: int, t: Fraction, parts: int, words: int, levels, most
         both = np.frombuffer(levels.value, np.uint8)
         level, word_level = both[: 1 << SKETCH_BITS], both[1 << SKETCH_BITS :]
         # a word that many columns belong to is spread over several blocks
-        spread = np.maximum(1, np.ceil(np.exp2(word_level / 4.0) * 4 * parts / max(1, words))).astype(np.uint64)
+        spread = np.maximum(1, np.ceil(np.exp2(word_level / 4.0) * 16 * parts / max(1, words))).astype(np.uint64)
         for whole in batches:
             for lo in range(0, whole.num_rows, 1 << 14):
                 b = whole.slice(lo, 1 << 14)
