@@ -131,4 +131,12 @@ g AS (SELECT row_id, len(s) AS n, unnest(s) AS g FROM s),
 o AS (SELECT a.row_id AS row_id_a, b.row_id AS row_id_b, a.n + b.n - count(*) AS total, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.row_id < b.row_id GROUP BY a.row_id, b.row_id, a.n, b.n)
 SELECT row_id_a, row_id_b FROM o WHERE 5 * shared >= 3 * total
 """
-SQL: dict[str, str] = {"p2_found": _P2, "p6_found": _P6}
+_P6_GROUPS = r"""
+WITH RECURSIVE t AS (SELECT row_id, lower(coalesce((SELECT string_agg(x.b.text, ' ' ORDER BY x.b.block_order, x.i) FROM (SELECT unnest(p.blocks) AS b, unnest(range(len(p.blocks))) AS i) x WHERE x.b.text <> ''), '')) AS text FROM page_blocks p),
+rep AS (SELECT text, min(row_id) AS r FROM t GROUP BY text), w AS (SELECT r, regexp_extract_all(text, '[\p{L}\p{Nd}]+') AS w FROM rep),
+s AS (SELECT r, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS s FROM w WHERE len(w) >= 30), g AS (SELECT r, len(s) AS n, unnest(s) AS g FROM s),
+o AS (SELECT a.r AS a, b.r AS b, a.n + b.n - count(*) AS total, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r, a.n, b.n), e AS (SELECT a, b FROM o WHERE 5 * shared >= 3 * total),
+c AS (SELECT r AS a, r AS b FROM rep UNION SELECT c.a, e.b FROM c JOIN e ON e.a = c.b), l AS (SELECT a, min(b) AS label FROM c GROUP BY a), k AS (SELECT a, count(*) AS links FROM e GROUP BY a)
+SELECT t.row_id, CASE WHEN t.text = '' THEN t.row_id ELSE label END AS group_id, coalesce(links, 0) AS links FROM t JOIN rep ON rep.text = t.text JOIN l ON l.a = rep.r LEFT JOIN k ON k.a = rep.r
+"""
+SQL: dict[str, str] = {"p2_found": _P2, "p6_found": _P6, "p6_groups": _P6_GROUPS}
