@@ -64,12 +64,18 @@ def f03_slugs(spark, sf):
     return table(spark, sf, "bundle_runs").select("run_id", T.slug("title").alias("slug"))
 
 
-@query()
+_ENT = "replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#x27;', chr(39)), '&amp;', '&')"
+
+
+@query(f"""WITH l AS (SELECT row_id, list_filter(list_transform(string_split({_ENT.format(x="regexp_replace(html_text, '</?p[^>]*>', chr(10), 'g')")}, chr(10)), lambda t: trim(regexp_replace(t, '{_WS}', ' ', 'g'))), lambda t: t <> '') AS x FROM preview_blocks WHERE html_text IS NOT NULL)
+ SELECT row_id, array_to_string(x, chr(10)) AS text FROM l""")
 def f04_html_text(spark, sf):
     return table(spark, sf, "preview_blocks").where("html_text IS NOT NULL").select("row_id", H.to_text("html_text").alias("text"))
 
 
-@query()
+@query(f"""WITH p AS (SELECT row_id, unnest(regexp_extract_all(html_text, '(?s)<p>(.*?)</p>', 1)) AS t, unnest(range(len(regexp_extract_all(html_text, '(?s)<p>(.*?)</p>', 1)))) AS k FROM preview_blocks WHERE html_text IS NOT NULL),
+ c AS (SELECT row_id, k, trim(regexp_replace({_ENT.format(x='t')}, '{_WS}', ' ', 'g')) AS t FROM p), b AS (SELECT row_id, k, 0 AS z, 'p' AS block_type, t AS text FROM c UNION ALL SELECT row_id, k, 1, '/p', '' FROM c WHERE t <> '')
+ SELECT row_id, block_type, text, row_number() OVER (PARTITION BY row_id ORDER BY k, z) AS block_order FROM b""")
 def f05_html_blocks(spark, sf):
     rows = table(spark, sf, "preview_blocks").where("html_text IS NOT NULL").select("row_id", F.explode(H.to_blocks("html_text")).alias("b"))
     return rows.select("row_id", "b.block_type", "b.text", "b.block_order")
@@ -158,7 +164,9 @@ def s05_image_keys(spark, sf):
     return table(spark, sf, "page_blocks").where("image IS NOT NULL").select("row_id", k.numbers.alias("numbers"), F.col("image")).select("row_id", "numbers", F.lower("image").alias("name"))
 
 
-@query()
+@query("""WITH p AS (SELECT row_id, list_sort(list_transform(blocks, lambda b, i: {'o': b.block_order, 'i': i, 't': b.block_type, 'x': replace(replace(replace(coalesce(b.text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')})) AS bs FROM page_blocks WHERE len(blocks) > 0),
+ c AS (SELECT *, list_transform(list_filter(bs, lambda b: starts_with(b.t, '/')), lambda b: b.t[2:]) AS closed FROM p)
+ SELECT row_id, array_to_string(list_transform(bs, lambda b: CASE WHEN starts_with(b.t, '/') THEN '<' || b.t || '>' ELSE '<' || b.t || '>' || b.x || CASE WHEN list_contains(closed, b.t) THEN '' ELSE '</' || b.t || '>' END END), chr(10)) AS html FROM c""")
 def k06_render(spark, sf):
     """HTML of each page from its ordered blocks."""
     return table(spark, sf, "page_blocks").where(F.size("blocks") > 0).select("row_id", H.render_blocks(F.array_sort("blocks", lambda a, b: F.when(a.block_order < b.block_order, -1).when(a.block_order > b.block_order, 1).otherwise(0))).alias("html"))
