@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.functions.text import jaccard, strip, tokens_of
-from folium.operators.relational import first_per_key
+from folium.operators.relational import first_per_key, with_neighbours
 
 
 def choose_boundaries(candidates: DataFrame, keys: list[str], slack: int = 50) -> DataFrame:
@@ -35,8 +35,8 @@ def close_boundaries(starts: DataFrame, elements: DataFrame, run: str, section:
     """
     first = starts.where(F.col("start_seq").isNotNull()).groupBy(run, section).agg(F.min("start_seq").alias("start_seq"))
     last = elements.groupBy(run).agg(F.max(seq).alias("_last"))
-    w = Window.partitionBy(run).orderBy("start_seq", section)
-    closed = first.join(last, run, "left").withColumn("end_seq", F.coalesce(F.lead("start_seq").over(w) - 1, "_last")).drop("_last")
+    ahead = with_neighbours(first, [run], "start_seq", ["start_seq"], (section,), before=False)
+    closed = ahead.join(last, run, "left").withColumn("end_seq", F.coalesce(F.col("next.start_seq") - 1, "_last")).drop("_last", "next")
     at = lambda name, to: elements.select(run, F.col(seq).alias(name), F.col(ident).alias(to))
     b = closed.join(at("start_seq", "start_id"), [run, "start_seq"]).join(at("end_seq", "end_id"), [run, "end_seq"], "left")
     b = b.withColumn("_next", F.when(F.col("start_seq") == F.col("end_seq"), F.col("end_seq") + 1)).join(at("_next", "_next_id"), [run, "_next"], "left")

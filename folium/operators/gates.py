@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.operators.relational import with_neighbours
+from folium.runtime import materialize
 
 
 def decide(existing: DataFrame, candidate: DataFrame, key: list[str], rules: list[tuple[str, Column]]) -> DataFrame:
@@ -28,7 +29,7 @@ def round_robin(df: DataFrame, group: str, order: list[Column], name: str = "tur
 
 def context(df: DataFrame, keys: list[str], order: str, value: str, before: int, after: int, name: str = "context") -> DataFrame:
     """The values of the rows around each row, itself included; one step to the neighbours for each row of the longer side."""
-    d = df.withColumn("_b", F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")).withColumn("_a", F.col("_b"))
+    d = materialize(df, "rows").withColumn("_b", F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")).withColumn("_a", F.col("_b"))
     d = d.withColumn("_p", F.col(value)).withColumn("_n", F.col(value))
     for k in range(max(before, after)):
         d = with_neighbours(d, keys, order, ["_p", "_n"])
@@ -84,11 +85,10 @@ def structure_regressions(pairs: DataFrame, counts: list[str], old_words: str, n
     return pairs.withColumn("reasons", reasons_).withColumn("regressed", (F.size("reasons") > 0) & ~waived)
 
 
-def fragmented(df: DataFrame, keys: list[str], order: list[Column], ident: str, terms: str) -> DataFrame:
-    """Rows that share terms with the next one of the key: adds next_row and shared."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    d = df.withColumn("next_row", F.lead(ident).over(w)).withColumn("shared", F.array_intersect(terms, F.lead(terms).over(w)))
-    return d.where(F.size("shared") > 0)
+def fragmented(df: DataFrame, keys: list[str], order: str, ident: str, terms: str) -> DataFrame:
+    """Rows that share terms with the next one of the key, by a whole number and the id: adds next_row and shared."""
+    d = with_neighbours(df, keys, order, [ident, terms], (ident,), before=False)
+    return d.withColumn("next_row", F.col(f"next.{ident}")).withColumn("shared", F.array_intersect(terms, F.col(f"next.{terms}"))).drop("next").where(F.size("shared") > 0)
 
 
 def profile_issues(tables: Column, pages: Column, heads: Column, headings: Column) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folium.operators.relational import islands
+from folium.operators.relational import islands_by, same_keys, with_neighbours
+from folium.runtime import materialize
 
 
 def place(y: Column, align: Column) -> Column:
@@ -33,14 +34,13 @@ def number_runs(df: DataFrame, keys: list[str], spot: list[str], page: str, numb
     later page has the next number.
     """
     d = df.where(F.col(number).isNotNull()).select(*keys, *spot, page, number, ordinal)
-    w = Window.partitionBy(*keys, *spot).orderBy(page, ordinal)
-    p, n = F.lag(page).over(w), F.lag(number).over(w)
-    d = d.withColumn("_p", p).withColumn("_n", n)
-    on = (F.col(page) == F.col("_p") + 1) | ((F.col(page) > F.col("_p")) & (F.col(number) == F.col("_n") + 1))
-    g = islands(d, [*keys, *spot], [F.col(page), F.col(ordinal)], ~on)
-    w2 = Window.partitionBy(*keys, *spot, "island")
-    g = g.withColumn("run_length", F.count("*").over(w2)).withColumn("first_page", F.min(page).over(w2)).withColumn("last_page", F.max(page).over(w2))
-    return g.where(F.col("run_length") >= least).select(ordinal, "run_length", "first_page", "last_page")
+    key = [*keys, *spot]
+    d = materialize(with_neighbours(materialize(d, "numbers"), key, page, [page, number], (ordinal,), after=False), "numbers")
+    p, n = F.col(f"prev.{page}"), F.col(f"prev.{number}")
+    on = (F.col(page) == p + 1) | ((F.col(page) > p) & (F.col(number) == n + 1))
+    g = islands_by(d, key, page, ~on, (ordinal,))
+    long = g.groupBy(*key, "island").agg(F.count("*").alias("run_length"), F.min(page).alias("first_page"), F.max(page).alias("last_page")).where(F.col("run_length") >= least)
+    return same_keys(g, long, [*key, "island"], "inner").select(ordinal, "run_length", "first_page", "last_page")
 
 
 def repeated_signatures(df: DataFrame, keys: list[str], page: str, text: str, y: str, top: float = 0.08, bottom: float = 0.92, longest: int = 90, share: float = 0.2) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.functions.text import slug
-from folium.operators.relational import first_per_key, running_sum
+from folium.operators.relational import first_per_key, running_sum, with_neighbours
 
 
 def counted_slugs(df: DataFrame, keys: list[str], title: str, order: list[Column], sep: str = "-", name: str = "slug") -> DataFrame:
@@ -66,10 +66,9 @@ def continuation_scores(portions: DataFrame, run: str, gap: int = 1, like: float
     """
     from folium.functions.text import jaccard, tokens_of
 
-    w = Window.partitionBy(run).orderBy("page_start", "page_end", "row_id")
     row = F.struct("portion_id", "portion_type", "page_end", F.coalesce("confidence", F.lit(0.5)).alias("c"), tokens_of(F.coalesce("title", F.lit(""))).alias("t"))
     d = portions.where(F.col(run).isNotNull() & F.col("page_start").isNotNull() & F.col("page_end").isNotNull()).withColumn("b", row)
-    d = d.withColumn("a", F.lag("b").over(w)).where(F.col("a").isNotNull() & (F.col("page_start") - F.col("a.page_end") - 1 <= gap) & (F.coalesce("a.portion_id", F.lit("")) != ""))
+    d = with_neighbours(d, [run], "page_start", ["b"], ("page_end", "row_id"), after=False).withColumn("a", F.col("prev.b")).where(F.col("a").isNotNull() & (F.col("page_start") - F.col("a.page_end") - 1 <= gap) & (F.coalesce("a.portion_id", F.lit("")) != ""))
     sim = jaccard(F.col("a.t"), F.col("b.t"))
     yes = lambda c, v: F.when(F.coalesce(c, F.lit(False)), v).otherwise(0.0)
     score = yes(F.col("a.portion_id") == F.col("b.portion_id"), 0.6) + yes(sim >= like, 0.25 * sim / max(like, 0.01)) + yes(F.col("a.portion_type") == F.col("b.portion_type"), 0.1) + 0.1 * F.least("a.c", "b.c")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.operators.intervals import merge_intervals
+from folium.runtime import materialize
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -51,7 +52,7 @@ def _blocks(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("_blk", F.shiftright(F.col(order).cast("long"), BLOCK.bit_length() - 1))
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+def same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join on keys that may be null; the right side's keys go."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
@@ -63,7 +64,8 @@ def with_neighbours(df: DataFrame, keys: list[str], order: str, values: list[str
 
     A window sees one block of positions; the rows at its edges get their neighbours
     from the blocks' first and last rows, one summary row a block, so a key that holds
-    much of the table is spread over many tasks.
+    much of the table is spread over many tasks.  The rows are read twice: store what
+    is costly to compute, in few columns.
     """
     d = _blocks(df, keys, order)
     by = F.struct(F.col(order).alias("o"), *[F.col(t).alias(f"t{i}") for i, t in enumerate(ties)])
@@ -73,7 +75,7 @@ def with_neighbours(df: DataFrame, keys: list[str], order: str, values: list[str
     ends = d.groupBy(*keys, "_blk").agg(F.min_by(item, by).alias("_a"), F.max_by(item, by).alias("_z"))
     far = Window.partitionBy(*keys).orderBy("_blk")
     ends = ends.select(*keys, "_blk", F.lag("_z").over(far).alias("_fp"), F.lead("_a").over(far).alias("_fn"))
-    out = _same(out, ends, [*keys, "_blk"])
+    out = same_keys(out, ends, [*keys, "_blk"])
     if before:
         out = out.withColumn("prev", F.coalesce("_in.p", "_fp"))
     if after:
@@ -88,7 +90,7 @@ def running_sum(df: DataFrame, keys: list[str], order: str, value: Column, name:
     sums = d.groupBy(*keys, "_blk").agg(F.sum("_v").alias("_s"))
     base = F.sum("_s").over(Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select(*keys, "_blk", F.coalesce(base, F.lit(0)).alias("_base"))
-    return _same(d.withColumn("_own", own), sums, [*keys, "_blk"]).withColumn(name, F.col("_own") + F.col("_base")).drop("_v", "_own", "_base", "_blk")
+    return same_keys(d.withColumn("_own", own), sums, [*keys, "_blk"]).withColumn(name, F.col("_own") + F.col("_base")).drop("_v", "_own", "_base", "_blk")
 
 
 def _level(length: Column, cell: int) -> Column:
@@ -121,7 +123,7 @@ def range_join(points: DataFrame, ranges: DataFrame, on: list[str], point: str,
 
 def missing_ranges(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Ranges of whole numbers between each key's least and greatest value that no row has: keys, below, first, last, above (the values at both sides)."""
-    v = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    v = materialize(df.where(F.col(value).isNotNull()).select(*keys, value).distinct(), "values")
     g = with_neighbours(v, keys, value, [value], before=False).where(F.col(f"next.{value}") > F.col(value) + 1)
     return g.select(*keys, F.col(value).alias("below"), (F.col(value) + 1).alias("first"), (F.col(f"next.{value}") - 1).alias("last"), F.col(f"next.{value}").alias("above"))
 
@@ -148,14 +150,14 @@ def last_known(df: DataFrame, keys: list[str], order: str, value: Column, name:
     beyond = (1, Window.unboundedFollowing) if after else (Window.unboundedPreceding, -1)
     ends = d.where(F.col("_v").isNotNull()).groupBy(*keys, "_blk").agg(end("_v", by).alias("_e"))
     every = d.select(*keys, "_blk").distinct()
-    ends = _same(every, ends, [*keys, "_blk"]).select(*keys, "_blk", pick("_e", ignorenulls=True).over(far.rowsBetween(*beyond)).alias("_f"))
+    ends = same_keys(every, ends, [*keys, "_blk"]).select(*keys, "_blk", pick("_e", ignorenulls=True).over(far.rowsBetween(*beyond)).alias("_f"))
     d = d.withColumn("_own", pick("_v", ignorenulls=True).over(w.rowsBetween(*span)))
-    return _same(d, ends, [*keys, "_blk"]).withColumn(name, F.coalesce("_own", "_f")).drop("_v", "_own", "_f", "_blk")
+    return same_keys(d, ends, [*keys, "_blk"]).withColumn(name, F.coalesce("_own", "_f")).drop("_v", "_own", "_f", "_blk")
 
 
 def fill_sequence(df: DataFrame, keys: list[str], order: str, value: str, name: str = "filled") -> DataFrame:
     """Fill null numbers from their neighbours: inside only if both sides agree on a step of one per row, before the first by counting back (from 1 on), after the last by counting on."""
-    d = running_sum(df, keys, order, F.lit(1), "_n")
+    d = materialize(running_sum(materialize(df, "sequence"), keys, order, F.lit(1), "_n"), "numbered")
     at = F.when(F.col(value).isNotNull(), F.struct(F.col("_n").alias("n"), F.col(value).alias("v")))
     d = last_known(last_known(d, keys, order, at, "_p"), keys, order, at, "_q", after=True)
     up, down = F.col("_p.v") + F.col("_n") - F.col("_p.n"), F.col("_q.v") - (F.col("_q.n") - F.col("_n"))
@@ -168,10 +170,10 @@ def fill_sequence(df: DataFrame, keys: list[str], order: str, value: str, name:
     return d.withColumn(name, out).drop("_n", "_p", "_q")
 
 
-def neighbours(df: DataFrame, keys: list[str], order: list[Column], ident: str, prev: str = "prev_id", next_: str = "next_id") -> DataFrame:
-    """Ids of the previous and the next row of the key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(prev, F.lag(ident).over(w)).withColumn(next_, F.lead(ident).over(w))
+def neighbours(df: DataFrame, keys: list[str], order: str, ident: str, ties: tuple[str, ...] = (), prev: str = "prev_id", next_: str = "next_id") -> DataFrame:
+    """Ids of the previous and the next row of the key, by a whole number (null counts as the least) and ties."""
+    d = with_neighbours(df.withColumn("_order", F.coalesce(order, F.lit(-(1 << 62)))), keys, "_order", [ident], ties)
+    return d.withColumn(prev, F.col(f"prev.{ident}")).withColumn(next_, F.col(f"next.{ident}")).drop("_order", "prev", "next")
 
 
 def next_starts(df: DataFrame, keys: list[str], start: str, last: Column, name: str = "end") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folium.functions.text import collapse
-from folium.operators.relational import islands
+from folium.operators.relational import islands_by, same_keys
 
 # ---------------------------------------------------------------- paragraphs
 
@@ -200,11 +200,12 @@ def promoted_heads(heads: DataFrame, headings: DataFrame, run: str, page: str, o
     return d.select(run, page, ordinal, F.when(reason == "unique", "promote").otherwise("remove").alias("action"), reason.alias("reason"))
 
 
-def absorbed(boundaries: DataFrame, keys: list[str], order: list[Column], parent: Column, child: Column) -> DataFrame:
-    """Boundaries without the subsections of a parent: a run of successive children directly after a parent (or after a child that was not absorbed and is a parent itself) belongs to it."""
-    g = islands(boundaries.withColumn("_parent", F.coalesce(parent, F.lit(False))), keys, order, ~F.coalesce(child, F.lit(False)))
-    before = F.max(F.col("_parent").cast("int")).over(Window.partitionBy(*keys, "island").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return g.withColumn("_in", F.coalesce(before, F.lit(0))).where("_in = 0").drop("_parent", "_in", "island")
+def absorbed(boundaries: DataFrame, keys: list[str], order: str, ties: tuple[str, ...], parent: Column, child: Column) -> DataFrame:
+    """Boundaries without the subsections of a parent: a run of successive children directly after a parent (or after a child that was not absorbed and is a parent itself) belongs to it. Ordered by a whole number and ties."""
+    d = boundaries.withColumn("_parent", F.coalesce(parent, F.lit(False))).withColumn("_at", F.struct(order, *ties))
+    g = islands_by(d, keys, order, ~F.coalesce(child, F.lit(False)), ties)
+    first = g.where("_parent").groupBy(*keys, "island").agg(F.min("_at").alias("_first"))
+    return same_keys(g, first, [*keys, "island"]).where("_first IS NULL OR _at <= _first").drop("_parent", "_at", "_first", "island")
 
 
 def first_of(inputs: list[DataFrame], ident: str, ordinal: str, prefix: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folium.functions.tagging import contents_line, element_class, list_item, lone_number, page_range, table_line
 from folium.functions.text import collapse, strip
 from folium.operators.layout import number_runs, place
+from folium.runtime import materialize
 
 TOP, BOTTOM = 0.08, 0.92
 
@@ -26,7 +27,8 @@ def _patterns(e: DataFrame, run: str, least: DataFrame) -> DataFrame:
     the bottom many numbers are footers.  Places are counted by aggregations.
     """
     n = e.where("number IS NOT NULL OR is_range").withColumn("_p", place(F.col("y"), F.col("align"))).where("_p IS NOT NULL").select("elem", run, "page", "t", "number", "is_range", F.col("_p.vertical").alias("v"), F.col("_p.horizontal").alias("h"))
-    runs = number_runs(n.where("NOT is_range"), [run], ["v", "h"], "page", "number", "elem").select("elem")
+    n = materialize(n, "margins")
+    runs = materialize(number_runs(n.where("NOT is_range"), [run], ["v", "h"], "page", "number", "elem").select("elem"), "runs")
     first = runs.select("elem", F.lit("Page-footer").alias("p_label"), F.lit(0.99).alias("p_confidence"))
     rest = n.join(runs, "elem", "left_anti").join(least, run)
     spot = [run, "v", "h"]
@@ -55,6 +57,7 @@ def tag_elements(elements: DataFrame, run: str = "run_id", share: float = 0.2) -
     """
     e = elements.withColumn("t", strip(F.coalesce("text", F.lit("")))).withColumn("sig", F.lower(collapse("t")))
     e = e.withColumn("c", element_class(F.col("kind"), F.col("text"), F.col("align"), F.col("role"))).withColumn("number", lone_number(F.col("t"))).withColumn("is_range", page_range(F.col("t")))
+    e = materialize(e, "elements")
     least = e.groupBy(run).agg(F.greatest(F.lit(3), F.floor(F.countDistinct("page") * share)).alias("least"))
     y = F.col("y")
     for name, edge in (("is_head", y <= TOP), ("is_foot", y >= BOTTOM)):

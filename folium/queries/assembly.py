@@ -12,7 +12,7 @@ from folium.functions import text as T
 from folium.operators import gates as Q
 from folium.operators import relational as R
 from folium.queries.document import _B, _BL, _P1, blocks, first_pages
-from folium.runtime import table
+from folium.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,6 +54,7 @@ def c20_repeated_edges(spark, sf):
 def q05_table_cluster(spark, sf):
     """The best stretch of successive pages with tables of each run."""
     p = blocks(spark, sf).where(F.col("block_type").isin("td", "th")).groupBy("run_id", "page").agg(F.count("*").alias("n"))
+    p = materialize(p, "pages")
     g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["page"], after=False), ["run_id"], "page", F.col("page") != F.col("prev.page") + 1)
     c = g.groupBy("run_id", "island").agg(F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.max("n").alias("most"), F.sum("n").alias("cells"), F.count("*").alias("pages")).drop("island")
     return R.first_per_key(c, ["run_id"], [-F.col("most"), -F.col("cells"), -F.col("pages"), F.col("first_page")])
@@ -159,6 +160,7 @@ def w05_heading_portions(spark, sf):
     """Portions from the first heading of each page; equal titles that follow each other are one."""
     b = blocks(spark, sf).where(F.col("block_type").isin("h1", "h2")).withColumn("title", F.lower(F.trim("text"))).where("title != ''").where(~F.col("title").rlike("^[0-9]+$"))
     f = R.first_per_key(b.select("run_id", "page", "row_id", "block_order", "title"), ["run_id", "page"], [F.col("row_id"), F.col("block_order")])
+    f = materialize(f, "headings")
     k = R.with_neighbours(f, ["run_id"], "page", ["title"], after=False).where(F.col("prev.title").isNull() | (F.col("prev.title") != F.col("title"))).drop("prev")
     last = table(spark, sf, "page_blocks").groupBy("run_id").agg(F.max("page").alias("last_page"))
     return R.next_starts(k.join(last, "run_id"), ["run_id"], "page", F.col("last_page"), "page_stop").select("run_id", F.col("page").alias("page_start"), "page_stop", "title")
@@ -170,7 +172,7 @@ def w19_logical_order(spark, sf):
     """Pages by printed number, unnumbered ones last; a number seen before on a page is marked."""
     p = first_pages(spark, sf).select("run_id", "page", "page_number")
     p = p.withColumn("n", F.row_number().over(W.partitionBy("run_id", "page_number").orderBy("page")))
-    p = R.running_sum(p.withColumn("place", F.coalesce("page_number", F.lit(1 << 60))), ["run_id"], "place", F.lit(1), "logical", ("page",))
+    p = R.running_sum(materialize(p.withColumn("place", F.coalesce("page_number", F.lit(1 << 60))), "pages"), ["run_id"], "place", F.lit(1), "logical", ("page",))
     return p.select("run_id", "page", F.col("logical").cast("long").alias("logical"), (F.col("page_number").isNotNull() & (F.col("n") > 1)).alias("repeated"))
 
 

@@ -13,7 +13,7 @@ from folium.functions import text as T
 from folium.operators import graph as G
 from folium.operators import relational as R
 from folium.operators import validation as V
-from folium.runtime import table
+from folium.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -366,7 +366,8 @@ def a22_rollup(spark, sf):
  SELECT run_id, count(*) AS pages, CAST(sum(CASE WHEN empty THEN 1 ELSE 0 END) AS BIGINT) AS empty_pages, CAST(sum(CASE WHEN empty AND page_number IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS empty_numbered, CAST(sum(CASE WHEN empty AND b AND a THEN 1 ELSE 0 END) AS BIGINT) AS empty_between FROM w GROUP BY run_id""")
 def a24_page_health(spark, sf):
     full = F.coalesce(F.size("blocks"), F.lit(0)) > 0
-    p = R.with_neighbours(first_pages(spark, sf).select("run_id", "page", "page_number", full.alias("full")), ["run_id"], "page", ["full"]).withColumn("b", F.col("prev.full")).withColumn("a", F.col("next.full"))
+    p = materialize(first_pages(spark, sf).select("run_id", "page", "page_number", full.alias("full")), "pages")
+    p = R.with_neighbours(p, ["run_id"], "page", ["full"]).withColumn("b", F.col("prev.full")).withColumn("a", F.col("next.full"))
     n = lambda c: F.sum(F.when(c, 1).otherwise(0))
     e = ~F.col("full")
     return p.groupBy("run_id").agg(F.count("*").alias("pages"), n(e).alias("empty_pages"), n(e & F.col("page_number").isNotNull()).alias("empty_numbered"), n(e & F.col("b") & F.col("a")).alias("empty_between"))
@@ -450,7 +451,7 @@ def w07_fill_page_numbers(spark, sf):
  SELECT run_id, CAST(island AS BIGINT) AS island, bool_or(is_blank) AS is_blank, min(page) AS first_page, max(page) AS last_page, count(*) AS pages, max(page) - min(page) + 1 AS span FROM g GROUP BY run_id, island""")
 def w08_regions(spark, sf):
     """Runs of pages of one kind among those present; a span counts absent pages too."""
-    p = first_pages(spark, sf).select("run_id", "page", "is_blank")
+    p = materialize(first_pages(spark, sf).select("run_id", "page", "is_blank"), "pages")
     g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["is_blank"], after=False), ["run_id"], "page", F.col("prev.is_blank") != F.col("is_blank"))
     return g.groupBy("run_id", "island").agg(F.bool_or("is_blank").alias("is_blank"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("pages"), (F.max("page") - F.min("page") + 1).alias("span"))
 
@@ -460,9 +461,9 @@ def w08_regions(spark, sf):
  SELECT row_id, before_row, round(len(list_intersect(t, before_t)) / len(list_distinct(list_concat(t, before_t))), 6) AS similarity FROM l WHERE before_row IS NOT NULL AND page_start - before_end BETWEEN 0 AND 1 AND len(list_intersect(t, before_t)) / len(list_distinct(list_concat(t, before_t))) >= 0.5""")
 def w09_continuations(spark, sf):
     """Portions that follow one of a like title closely."""
-    w = W.partitionBy("run_id").orderBy("page_start", "row_id")
     q = table(spark, sf, "portions").where("run_id IS NOT NULL AND page_start <= page_end AND title IS NOT NULL").select("run_id", "row_id", "page_start", "page_end", T.tokens_of("title").alias("t"))
-    q = q.select("row_id", "page_start", "t", F.lag("row_id").over(w).alias("before_row"), F.lag("page_end").over(w).alias("before_end"), F.lag("t").over(w).alias("before_t"))
+    q = R.with_neighbours(q, ["run_id"], "page_start", ["row_id", "page_end", "t"], ("row_id",), after=False)
+    q = q.select("row_id", "page_start", "t", F.col("prev.row_id").alias("before_row"), F.col("prev.page_end").alias("before_end"), F.col("prev.t").alias("before_t"))
     q = q.where("before_row IS NOT NULL AND page_start - before_end BETWEEN 0 AND 1").withColumn("s", T.jaccard(F.col("t"), F.col("before_t"))).where("s >= 0.5")
     return q.select("row_id", "before_row", F.round("s", 6).alias("similarity"))
 
@@ -472,7 +473,7 @@ def w09_continuations(spark, sf):
  SELECT run_id, min(page_number) AS first_number, max(page_number) AS last_number, count(*) AS pages FROM g GROUP BY run_id, island HAVING count(*) >= 3""")
 def w10_number_runs(spark, sf):
     """Stretches of at least three pages whose printed numbers keep step with the pages."""
-    p = first_pages(spark, sf).where("page_number IS NOT NULL").select("run_id", "page", "page_number", F.expr("page_number - page").alias("d"))
+    p = materialize(first_pages(spark, sf).where("page_number IS NOT NULL").select("run_id", "page", "page_number", F.expr("page_number - page").alias("d")), "pages")
     g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["d"], after=False), ["run_id"], "page", F.col("prev.d") != F.col("d"))
     return g.groupBy("run_id", "island").agg(F.min("page_number").alias("first_number"), F.max("page_number").alias("last_number"), F.count("*").alias("pages")).where("pages >= 3").drop("island")
 
@@ -487,7 +488,7 @@ def w12_number_breaks(spark, sf):
  SELECT run_id, window_id, count(*) AS pages FROM x GROUP BY ALL""")
 def w15_windows(spark, sf):
     """Windows of eight pages, one every five."""
-    n = R.running_sum(first_pages(spark, sf).select("run_id", "page"), ["run_id"], "page", F.lit(1), "n").select("run_id", (F.col("n") - 1).cast("long").alias("i"))
+    n = R.running_sum(materialize(first_pages(spark, sf).select("run_id", "page"), "pages"), ["run_id"], "page", F.lit(1), "n").select("run_id", (F.col("n") - 1).cast("long").alias("i"))
     return R.sliding_windows(n, ["run_id"], "i", 8, 5).groupBy("run_id", "window_id").agg(F.count("*").alias("pages"))
 
 
@@ -504,7 +505,7 @@ def w22_greedy_portions(spark, sf):
  SELECT run_id, entry_id, lag(entry_id) OVER w AS prev_id, lead(entry_id) OVER w AS next_id FROM e WINDOW w AS (PARTITION BY run_id ORDER BY entry_order, entry_id)""")
 def w23_navigation(spark, sf):
     e = R.first_per_key(table(spark, sf, "bundle_entries").where("entry_id IS NOT NULL").select("run_id", "entry_id", "row_id", "entry_order"), ["run_id", "entry_id"], [F.col("row_id")])
-    return R.neighbours(e, ["run_id"], [F.col("entry_order"), F.col("entry_id")], "entry_id").select("run_id", "entry_id", "prev_id", "next_id")
+    return R.neighbours(e, ["run_id"], "entry_order", "entry_id", ("entry_id",)).select("run_id", "entry_id", "prev_id", "next_id")
 
 
 # ---------------------------------------------------------------- sets, graph, checks, bundle

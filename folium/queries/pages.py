@@ -20,7 +20,7 @@ from folium.operators import vote as V
 from folium.operators.layout import normal_box
 from folium.queries.document import _B, _BL, _P1, blocks, first_pages
 from folium.queries.elements import _BB
-from folium.runtime import table
+from folium.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -276,7 +276,7 @@ def f37_promoted_heads(spark, sf):
 def w06_absorbed(spark, sf):
     """Entries that are not absorbed by the chapter before them."""
     e = table(spark, sf, "bundle_entries").where("entry_order IS NOT NULL").select("run_id", "row_id", "entry_order", "kind")
-    return P.absorbed(e, ["run_id"], [F.col("entry_order"), F.col("row_id")], F.col("kind") == "chapter", F.col("kind") != "chapter").select("run_id", "row_id")
+    return P.absorbed(e, ["run_id"], "entry_order", ("row_id",), F.col("kind") == "chapter", F.col("kind") != "chapter").select("run_id", "row_id")
 
 
 @query("""WITH u AS (SELECT 0 AS p, entry_id, row_id, title FROM bundle_entries WHERE deleted_at IS NULL UNION ALL SELECT 1, entry_id, row_id, title FROM bundle_entries WHERE deleted_at IS NOT NULL), k AS (SELECT * FROM u WHERE entry_id IS NULL UNION ALL SELECT * FROM (SELECT * FROM u WHERE entry_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY entry_id ORDER BY p, row_id) = 1))
@@ -344,7 +344,7 @@ def q09_regressions(spark, sf):
 def q11_shared_terms(spark, sf):
     """Portions that share a term of their title with the next one of the run."""
     q = table(spark, sf, "portions").where("run_id IS NOT NULL AND page_start IS NOT NULL AND title IS NOT NULL").select("run_id", "row_id", "page_start", T.tokens_of("title", 4).alias("t"))
-    return Q.fragmented(q, ["run_id"], [F.col("page_start"), F.col("row_id")], "row_id", "t").select("row_id", "next_row", F.size("shared").cast("long").alias("shared"))
+    return Q.fragmented(q, ["run_id"], "page_start", "row_id", "t").select("row_id", "next_row", F.size("shared").cast("long").alias("shared"))
 
 
 @query(f"""WITH {_B}, s AS (SELECT run_id, sum(CASE WHEN block_type IN ('h1', 'h2', 'h3') THEN 1 ELSE 0 END) AS headings, sum(CASE WHEN block_type = 'table' THEN 1 ELSE 0 END) AS tables, sum(CASE WHEN block_type = 'th' THEN 1 ELSE 0 END) AS heads, count(DISTINCT page) AS pages FROM b GROUP BY 1)
@@ -388,8 +388,6 @@ def k04_chapters(spark, sf):
 def k04_bodies(spark, sf):
     """HTML body of each chapter, as a digest and its length (literal cases in the tests)."""
     from folium.functions.html import render_blocks
-    from folium.runtime import materialize
-
     pages, portions = _chapter_inputs(spark, sf)
     by_order = F.array_sort("blocks", lambda a, b: F.when(a.block_order < b.block_order, -1).when(a.block_order > b.block_order, 1).otherwise(0))
     html = first_pages(spark, sf).where(F.size("blocks") > 0).select("run_id", "page", render_blocks(by_order).alias("html"))
@@ -401,8 +399,6 @@ def k04_bodies(spark, sf):
 def k04_uncovered(spark, sf):
     """Pages that no chapter covers, as entries of their own."""
     pages, portions = _chapter_inputs(spark, sf)
-    from folium.runtime import materialize
-
     u = C.uncovered_pages(pages, materialize(C.chapters(pages, portions), "chapters"))
     return u.select(F.col("run").alias("run_id"), "title", "page_start")
 
@@ -417,7 +413,7 @@ def w20_stitched_pages(spark, sf):
     """Pages whose first paragraph goes on with the last of the page before."""
     x = F.filter("blocks", lambda b: (b.text != "") & b.block_type.isin("p", "li", "td"))
     s = first_pages(spark, sf).where(F.size("blocks") > 0).select("run_id", "page", x.alias("x")).where(F.size("x") > 0).select("run_id", "page", F.element_at("x", -1).text.alias("last_text"), F.element_at("x", 1).text.alias("first_text"))
-    s = R.with_neighbours(s, ["run_id"], "page", ["last_text", "page"], after=False)
+    s = R.with_neighbours(materialize(s, "ends"), ["run_id"], "page", ["last_text", "page"], after=False)
     return s.where((F.col("prev.page") == F.col("page") - 1) & C.stitches(F.col("prev.last_text"), F.col("first_text"))).select("run_id", F.col("prev.page").alias("from_page"), "page")
 
 

@@ -12,7 +12,7 @@ from folium.operators import manifest as M
 from folium.operators import relational as R
 from folium.queries.document import _B, _P1, blocks, first_pages
 from folium.queries.pages import _BX, _boxes
-from folium.runtime import table
+from folium.runtime import materialize, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -107,6 +107,7 @@ def w08_pattern_regions(spark, sf):
     """Regions of pages with heads, feet, both or none, and how consistent each is over the pages that it spans."""
     p = blocks(spark, sf).groupBy("run_id", "page").agg(F.bool_or(F.col("block_type") == "header").alias("h"), F.bool_or(F.col("block_type") == "footer").alias("f"))
     p = p.withColumn("pattern", F.when(F.col("h") & F.col("f"), "mixed").when(F.col("h"), "top").when(F.col("f"), "bottom").otherwise("none"))
+    p = materialize(p.select("run_id", "page", "pattern"), "patterns")
     g = R.islands_by(R.with_neighbours(p, ["run_id"], "page", ["pattern"], after=False), ["run_id"], "page", F.col("prev.pattern") != F.col("pattern"))
     r = g.groupBy("run_id", "island").agg(F.first("pattern").alias("pattern"), F.min("page").alias("first_page"), F.max("page").alias("last_page"), F.count("*").alias("hits"))
     sure = M.region_confidence(F.col("hits"), F.col("last_page") - F.col("first_page") + 1)
@@ -133,7 +134,7 @@ def s06_image_pieces(spark, sf):
 @query(f"WITH {_P1}, n AS (SELECT run_id, page, row_number() OVER (PARTITION BY run_id ORDER BY page) - 1 AS n FROM p1) SELECT run_id, page, n // 20 + 1 AS sheet, (n % 20) // 5 AS grid_row, n % 5 AS grid_column FROM n")
 def s23_contact_sheets(spark, sf):
     """Sheets of four rows of five pages."""
-    return M.contact_sheets(first_pages(spark, sf).select("run_id", "page"), ["run_id"], "page", 5, 4).select("run_id", "page", *[F.col(c).cast("long").alias(c) for c in ("sheet", "grid_row", "grid_column")])
+    return M.contact_sheets(materialize(first_pages(spark, sf).select("run_id", "page"), "pages"), ["run_id"], "page", 5, 4).select("run_id", "page", *[F.col(c).cast("long").alias(c) for c in ("sheet", "grid_row", "grid_column")])
 
 
 @query("""WITH f AS (SELECT run_id, path, coalesce(title, '') AS c FROM bundle_entries WHERE path IS NOT NULL) SELECT run_id, 'sha256:' || sha256(string_agg(path || chr(0) || c || chr(0), '' ORDER BY path, c)) AS fingerprint, count(*) AS files FROM f GROUP BY run_id""")

@@ -42,6 +42,6 @@ def bundle_pages(blocks: DataFrame) -> DataFrame:
 
 def bundle_manifest(pages: DataFrame) -> DataFrame:
     """Manifest per run: entries in reading order with neighbours, paths and fingerprints of their HTML."""
-    n = neighbours(pages, ["run_id"], [F.col("entry_order"), F.col("entry_id")], "entry_id", "prev_entry_id", "next_entry_id")
+    n = neighbours(pages, ["run_id"], "entry_order", "entry_id", ("entry_id",), "prev_entry_id", "next_entry_id")
     e = F.array_sort(F.collect_list(F.struct("entry_order", "entry_id", "path", "prev_entry_id", "next_entry_id", F.concat(F.lit("sha256:"), F.sha2("html", 256)).alias("fingerprint"))))
     return n.groupBy("run_id").agg(e.alias("entries")).withColumn("reading_order", F.transform("entries", lambda x: x.entry_id))
