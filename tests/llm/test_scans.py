@@ -1,8 +1,9 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from folium.llm import gbt
+from folium.llm import fitting, gbt
 from folium.llm.holdout import CALIBRATE, JUDGE
 from folium.llm.quality import STATS, fit_classifier, page_statistics, scoped_pages, statistics
 from folium.llm.scans import breaks, difference, fold, number_values, open_end, page_noise, read_number, repair_text, repaired_pages, tokens
@@ -191,6 +192,36 @@ def test_two_confusions_and_broken_misread(spark):
     assert text == {900: [f"{body} They followed it."], 901: [f"{body} They remembered it."], 902: [f"{body} They followed it."], 903: [f"{body} They yonder- less it."]}
 
 
+def test_fit_of_all_rows(spark, monkeypatch):
+    """Sums on the driver and by tasks give the same trees; a class that few rows have is learnt."""
+    rng = np.random.default_rng(4)
+    x = rng.random((20_000, 3)).round(2)
+    y = (x[:, 0] > 0.5).astype(int)
+    y[:1000], x[:1000] = 2, [0.25, 9.0, 0.5]
+    rows = spark.createDataFrame([(v.tolist(), int(c)) for v, c in zip(x, y)], "x array<double>, y int")
+    local, size = fitting.fit_rows(rows, [0, 1, 2, 3], rounds=8)
+    monkeypatch.setattr(fitting, "LOCAL", 0)
+    spread, _ = fitting.fit_rows(rows.repartition(7), [0, 1, 2, 3], rounds=8)
+    assert local == spread and size == {c: int((y == c).sum()) for c in (0, 1, 2)}
+    p = np.column_stack([m.probability(x) for m in local])
+    assert (p.argmax(axis=1) == y).mean() > 0.95 and (p[:1000].argmax(axis=1) == 2).all() and len(local[3].trees) == 0
+    one, size = fitting.fit_rows(rows.where("y = 1"))
+    assert len(one[0].trees) == 0 and size == {1: int((y == 1).sum())} and fitting.fit_rows(rows.where("y > 5"))[1] == {}
+
+
+def test_words_of_all_pages_count(spark):
+    """A misread form as frequent as a word in the first 4000 pages by hash, whose right word is frequent enough only in all pages."""
+    rng = random.Random(3)
+    rows, _ = corpus(spark)
+    ids = [r.id for r in spark.range(1000, 6000).orderBy(F.xxhash64("id"), "id").collect()]
+    text = "The quiet river was counted before another letter was opened in the modest harbour of the company, and all of them said that it was there."
+    odd = lambda word: f" The {rng.choice('narrow quiet painted early distant heavy modest'.split())} {word} {rng.choice('crossed painted followed counted opened gathered measured'.split())} it."
+    more = lambda k: odd("gardcn") if k < 35 else odd("garden") * 2 if k >= 4000 else ""
+    rows += [(n, f"s{k % 40}", ["site"], k // 40 * 3, [("p", text + more(k), 1, None)], "c", "k") for k, n in enumerate(ids)]
+    found = page_noise(spark.createDataFrame(rows, PAGES), spark.createDataFrame([], PREVIEWS), None, spark.createDataFrame([], CASES))
+    assert {r.row_id for r in found["noise"].where("noise_kind = 'misread' AND row_id >= 1000").collect()} == set(ids[:35])
+
+
 def test_empty(spark):
     pages, previews, cases = spark.createDataFrame([], PAGES), spark.createDataFrame([], PREVIEWS), spark.createDataFrame([], CASES)
     assert page_noise(pages, previews, None, cases)["noise"].collect() == []
